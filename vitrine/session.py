@@ -23,3 +23,21 @@ def build_session(app_name: str = "vitrine", master: str | None = None, shuffle_
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application (they need not have it installed)."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_vitrine_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="vitrine-")) / "vitrine.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    context.addPyFile(str(archive))
+    context._vitrine_shipped = True

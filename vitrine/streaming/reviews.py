@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from ..sources.store_feed import StoreFeedSource
 
 
@@ -17,6 +18,7 @@ def daily_counts_stream(events: DataFrame, key: str, ts: str, lateness: str = "2
 
 def drain_reviews(spark: SparkSession, options: dict[str, str], out: str, checkpoint: str) -> None:
     """Append all pages of the review feed behind the checkpointed cursors to ``out``, then stop."""
+    ship(spark)
     spark.dataSource.register(StoreFeedSource)
     feed = spark.readStream.format("store_feed").options(feed="reviews", **options).load()
     query = feed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
