@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, piece_encoding, sharding, token_counts, warc
+from . import decontamination, language_id, near_duplicates, piece_encoding, quality_rules, sharding, token_counts, warc
 from .common import read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,28 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, ~language_id.held_out())
+    return language_id.identify(docs.select("doc_id", "text", language_id.held_out().alias("held_out")), model, keep=["doc_id", "held_out"])
+
+
+@query()
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", near_duplicates.hex_digits().alias("fingerprint"), "component_id")
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    stats = quality_rules.with_statistics(docs, keep=["doc_id"])
+    failed = quality_rules.base_failed()
+    return stats.select("doc_id", *quality_rules.BASE, failed.alias("base_failed"), (~failed & quality_rules.verdict(rules)).alias("kept"), quality_rules.rule_number(rules).alias("rule"))
+
+
 @query()
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
