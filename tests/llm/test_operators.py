@@ -1,0 +1,451 @@
+"""Each operator against a brute-force version, the library it stands for, or labels that it has not seen."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+import xxhash
+
+from vitrine.llm import decontamination, language_id, license_scan, near_duplicates, personal_data, piece_encoding, quality_rules, sharding, token_counts, warc
+from vitrine.llm.queries import ORACLES, QUERIES, vocabulary
+
+DATA = "/root/testdata/sf0.001"
+ODD = [
+    None, "", " ", "\n\n", "x", "A", "1 2 3", "no-break space   em", "İstanbul ſ K ½ ² ª", "a\x00b\x1c\x85c", "日本語のテキスト。" * 30, "🙂" * 9, "word " * 3000, "a" * 30000,
+    "a.b@c.d_e@f.g ..x@y.z..w@v.u a@b.c%d@e.f", "1.2.3.4.5.6.7.8 256.1.1.1 0001.002.3.4 1.2.3", "4111 1111 1111 1111 4111-1111-1111-1112 " + "7" * 40, "+1 (212) 555-0187. +49 30 1234567 +1 +12 +(1", "cc by CC-BY-NC 4.0 all rights reserved General Public License",
+    "<|endoftext|> <s></s> <unk> <0x41> ▁ ▁▁x", "Released under the MIT License. Licensed under the Apache License, Version 2.0.", "  lead  and   trail  ", "\t\ttabs\tand\r\nlines\r\n", "it's we'LL ''s 'S don't", "é" * 500, " " * 5000 + "end",
+]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return [r["text"] for r in pq.read_table(f"{DATA}/documents.parquet").to_pylist()] + ODD
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    """Ids, with a null and a repeated row, and extra columns named like results."""
+    rows = [(i if i != 3 else None, t, "en", 1, "old", [1]) for i, t in enumerate(texts)] + [(len(texts) - 1, texts[-1], "en", 1, "old", [1])]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_words int, overlap string, spans array<int>").repartition(3)
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string, lang string")
+
+
+def ascii_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def white_words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+# ---- 1
+
+
+def brute_overlaps(texts, items, n=10):
+    windows = defaultdict(set)
+    for item, t in items:
+        w = ascii_words(t)
+        for i in range(max(1, len(w) - n + 1)) if w else []:
+            windows[tuple(w[i : i + n])].add(item)
+    out = []
+    for t in texts:
+        w, hit, named = ascii_words(t), set(), set()
+        for k in {len(x) for x in windows}:
+            for i in range(len(w) - k + 1):
+                if (found := windows.get(tuple(w[i : i + k]))) is not None:
+                    hit |= set(range(i, i + k))
+                    named |= found - {None}
+        out.append((len(w), len(hit), ",".join(sorted(named))))
+    return out
+
+
+@pytest.mark.parametrize("most", [1_000_000, 40])
+def test_overlaps(spark, docs, most):
+    random.seed(1)
+    base = pq.read_table(f"{DATA}/benchmark.parquet").to_pylist()[:8]
+    items = [(str(r["item_id"]), r["text"]) for r in base] + [("short", "Lead and"), ("short", "trail"), (None, "word word word"), ("none", ""), ("null", None), ("0", "x")]
+    found = decontamination.find_overlaps(docs, spark.createDataFrame(items, "item_id string, text string"), max_windows=most)
+    assert set(docs.columns) == set(found.columns)
+    rows = [(r["text"], (r["overlap"]["n_words"], sum(s["end"] - s["first"] for s in r["overlap"]["spans"]), ",".join(r["overlap"]["items"]))) for r in found.collect()]
+    assert len(rows) == docs.count()
+    assert [x for _, x in rows] == brute_overlaps([t for t, _ in rows], items)
+
+
+def test_removal(spark, docs):
+    items = spark.createDataFrame([("a", "word word word word"), ("b", "lead and")], "item_id string, text string")
+    assert {r["text"] for r in docs.collect()} - {r["text"] for r in decontamination.remove_documents(docs, items).collect()} == {"word " * 3000, "  lead  and   trail  "}
+    cut = {r["doc_id"]: r["text"] for r in decontamination.remove_spans(docs, items, mark="[-]").collect()}
+    assert "  [-]   trail  " in cut.values() and "[-] " in cut.values() and len(cut) == docs.select("doc_id").distinct().count()
+    assert decontamination.remove_documents(docs, items.limit(0)).count() == docs.count()
+    assert decontamination.remove_documents(empty(spark), items).count() == 0
+
+
+# ---- 2
+
+
+def test_sharding(spark, docs):
+    tree = sharding.Topology.even(2, 4, 5)
+    rows = sharding.place(docs, tree).collect()
+    assert len(rows) == docs.count()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 40)
+    assert all(sorted(s) == list(range(len(s))) for s in by.values()) and max(by) < 40
+    want = Counter((None if d["doc_id"] is None else d["doc_id"], len((d["text"] or "").encode()) + 16, zlib.crc32((d["text"] or "").encode())) for d in docs.collect())
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
+    assert sharding.place(empty(spark), tree).count() == 0
+
+
+def test_sharding_copies_and_weights(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 100)
+    same = spark.range(1050).selectExpr("7L as doc_id", "'t' as text")
+    rows = sharding.place(same, sharding.Topology.even(1, 2, 2)).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(1050)) and len({r["shard"] for r in rows}) == 1
+    many = spark.range(40000).withColumnRenamed("id", "k")
+    tree = sharding.Topology(((((0, 1.0), (1, 3.0)), ((2, 4.0),)), (((3, 8.0),),)))
+    n = dict(sharding.add_shard(many, tree, "k").groupBy("shard").count().collect())
+    assert all(abs(n[s] / 40000 - w / 16) < 0.01 for s, w in ((0, 1), (1, 3), (2, 4), (3, 8)))
+    lighter = sharding.Topology(((((0, 1.0), (1, 3.0)), ((2, 2.0),)), (((3, 8.0),),)))
+    moved = sharding.add_shard(sharding.add_shard(many, tree, "k", "a"), lighter, "k", "b").where("a <> b").groupBy("a", "b").count().collect()
+    # Only the lighter region loses rows to the other, its lighter rack loses rows, and neither gains any.
+    assert all(r["a"] != 3 and r["b"] != 2 for r in moved) and {(2, 3)} <= {(r["a"], r["b"]) for r in moved}
+
+
+# ---- 3
+
+
+@pytest.mark.parametrize("gz", [False, True])
+def test_warc(spark, tmp_path, gz):
+    pages = [(1, "u", "z" * 100), (0, "u", "z" * 100), (2, "u\r\nX: y", "z" * 100), (3, None, "z" * 99), (4, "u", "z" * 99), (5, "u", None), (6, "u", "ü" * 70 + "\r\n\r\nWARC/1.1\r\n"), (None, "u", "q" * 200), (8, "u", "q" * 200)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    path = str(tmp_path / "w")
+    warc.write_warc(warc.mark_revisits(df), path, roll_bytes="300", **({"compression": "gzip"} if gz else {}))
+    rows = {r["record_id"]: r for r in warc.read_warc(spark, path).collect()}
+    assert len(rows) == 9 and {k for k, r in rows.items() if r["record_type"] == "revisit"} == {"urn:page:1", "urn:page:2", "urn:page:"}
+    assert rows["urn:page:2"]["refers_to"] == "urn:page:0" and rows["urn:page:2"]["payload_length"] == 100
+    assert bytes(rows["urn:page:6"]["payload"]).decode() == pages[6][2] and bytes(rows["urn:page:5"]["payload"]) == b""
+    for r in rows.values():
+        if r["record_type"] == "response":
+            assert r["payload_digest"] == hashlib.sha256(bytes(r["payload"])).hexdigest() and r["payload_length"] == len(r["payload"])
+    only = warc.read_warc(spark, path, payload=False).where("record_type = 'revisit' and record_id in ('urn:page:1', 'urn:page:6')")
+    assert [r["record_id"] for r in only.collect()] == ["urn:page:1"]
+    assert warc.read_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+# ---- 4, 10
+
+
+def test_token_counts(spark, docs, texts, monkeypatch):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    want = {t: len(own.encode(t or "", add_special_tokens=False).ids) for t in texts}
+    for split in (1 << 18, 50):
+        rows = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), split_bytes=split, batch_bytes=500).collect()
+        assert len(rows) == docs.count() and all(r["n_tokens"] == want[r["text"]] for r in rows)
+
+
+def test_token_counts_of_other_files(spark, docs, texts):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model")), Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    few = docs.where("doc_id % 4 = 0")
+    assert all(r["n_tokens"] == len(sp.encode(r["text"] or "")) for r in token_counts.count_tokens(few, vocabulary("piece_bpe_32k.model")).collect())
+    assert all(r["n_tokens"] == len(own.encode(r["text"] or "", add_special_tokens=False).ids) for r in token_counts.count_tokens(few, vocabulary("word_bpe_49k.json")).collect())
+
+
+def test_pieces(spark, docs, texts):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    path = vocabulary("piece_bpe_32k.model")
+    coded = piece_encoding.encode_column(docs, path)
+    rows = piece_encoding.decode_column(coded, path).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = sp.encode(r["text"] or "")
+        assert r["ids"] == ids and r["decoded"] == sp.decode(ids)
+    for r in piece_encoding.round_trip(docs, path, ids=True).collect():
+        ids = sp.encode(r["text"] or "")
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], r["ids"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest(), ids)
+
+
+def test_pieces_of_random_texts():
+    import sentencepiece
+
+    sp, codec, rng = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model")), piece_encoding.load_codec(vocabulary("piece_bpe_32k.model")), random.Random(3)
+    pools = ["abcdefghijklmnopqrstuvwxyz ", "aeiouy", " \n\t.", "tion ing er the", "éèüß”«»…—’²", "#$%&*'\"()-=_/\\0123456789", "ÀÖñçžł", "ابتثكرਂ่ั漢字かなカナ한글", "▁ x", "̀́ae"]
+    for _ in range(6000):
+        t = "".join(rng.choice(rng.choice(pools)) for _ in range(rng.randint(1, 60)))
+        ids = sp.encode(t)
+        assert codec.encode(t) == ids and codec.decode(ids).decode() == sp.decode(ids), t
+
+
+# ---- 5
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_base(t):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def fine(kind, v):
+        d = re.sub("[^0-9]", "", v)
+        return {"email": lambda: True, "ip": lambda: all(int(x) <= 255 for x in v.split(".")), "card": lambda: 16 <= len(d) <= 19 and luhn(d), "phone": lambda: 8 <= len(d) <= 15}[kind]()
+
+    return [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, t or "") if fine(k, m[0])]
+
+
+def test_personal_data(spark, docs):
+    rng = random.Random(5)
+    noise = ["".join(rng.choice("ab1.@+-% ()4_") for _ in range(rng.randint(5, 80))) for _ in range(400)]
+    more = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(noise)], "doc_id bigint, text string")
+    both = docs.select("doc_id", "text").unionByName(more)
+    found = personal_data.find_personal_data(both).collect()
+    assert len(found) == both.count()
+    got = Counter((r["doc_id"], tuple((s["kind"], s["start"], s["end"]) for s in r["base"])) for r in found)
+    assert got == Counter((r["doc_id"], tuple(brute_base(r["text"]))) for r in both.collect())
+    assert all({tuple(s) for s in r["base"]} <= {tuple(s) for s in r["spans"]} for r in found)
+    assert personal_data.find_personal_data(empty(spark)).count() == 0
+
+
+def test_bootstrapped_contexts(spark):
+    rows = [(i, f"filler text {i} please call +1 (212) 555-{1000 + i} today") for i in range(12)]
+    rows += [(100, "you may please call 0212-555-0199 or not"), (101, "in the year 2024-12-31x nothing happened"), (102, None), (103, "please call")]
+    rows += [(200 + i, f"the part number {i}12345-{i}{i} of the shelf") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in personal_data.find_personal_data(df).collect()}
+    assert spans[100] == [("phone", 20, 33)] and not any(spans[i] for i in (101, 102, 103, *range(200, 212)))
+    clean = {r["doc_id"]: r["text"] for r in personal_data.redact(df).collect()}
+    assert clean[100] == "you may please call <PHONE> or not" and clean[0] == "filler text 0 please call <PHONE> today" and clean[102] is None and clean[200] == rows[16][1]
+
+
+# ---- 6
+
+
+def test_language_id(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(df, ~language_id.held_out())
+    rows = language_id.identify(df.withColumn("held", language_id.held_out()), model).collect()
+    held = [r for r in rows if r["held"]]
+    assert {r["held"] for r in rows} == {True, False} and all(r["held"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert sum(r["lang_pred"] == r["lang"] for r in held) / len(held) > 0.97
+    assert sum(r["lang_rejected"] for r in rows) == 0 and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_id_odd(spark, docs):
+    model = language_id.fit(docs, language_id.held_out() | ~language_id.held_out())
+    for r in language_id.identify(docs, model).collect():
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert r["lang_pred"] == ("en" if letters else "und") and (letters or r["lang_rejected"])
+    assert language_id.fit(empty(spark), ~language_id.held_out()) is None
+    assert {r["lang_pred"] for r in language_id.identify(docs, None).collect()} == {"und"}
+
+
+def test_language_rejection(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(df, ~language_id.held_out())
+    strange = spark.createDataFrame([(1, "これは日本語の文章です。" * 20), (2, "это русский текст, и он длинный " * 20)], "doc_id bigint, text string")
+    assert all(r["lang_rejected"] for r in language_id.identify(strange, model).collect())
+
+
+# ---- 7
+
+
+def brute_fingerprint(t):
+    w = [x.lower() if x.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in white_words(t)]
+    if not w:
+        return 0
+    s = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))]
+    votes = [0] * 64
+    for x in s:
+        h = xxhash.xxh64_intdigest(x.encode(), 42)
+        for b in range(64):
+            votes[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if votes[b] * 2 > len(s))
+
+
+def brute_components(fps, t=4):
+    root = {f: f for f in fps}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    keys = list(root)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if (a ^ b).bit_count() <= t and top(a) != top(b):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    return {f: top(f) for f in keys}
+
+
+def test_near_duplicates(spark, docs):
+    rows = near_duplicates.near_duplicates(docs).select("doc_id", near_duplicates.hex_digits().alias("fingerprint"), "component_id").collect()
+    own = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs.collect()]
+    assert Counter((r["doc_id"], r["fingerprint"]) for r in rows) == Counter((d, f"{f:016x}") for d, f in own)
+    of = brute_components({f for _, f in own})
+    least = {}
+    for d, f in own:
+        if d is not None:
+            least[of[f]] = min(d, least.get(of[f], d))
+    assert all(r["component_id"] == least.get(of[int(r["fingerprint"], 16)]) for r in rows)
+    assert near_duplicates.near_duplicates(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [4096, 8])
+def test_links_of_dense_groups(spark, bucket):
+    rng = random.Random(7)
+    fps = set()
+    for _ in range(6):
+        c = rng.getrandbits(64)
+        for _ in range(60):
+            f = c
+            for b in rng.sample(range(64), rng.randint(0, 5)):
+                f ^= 1 << b
+            fps.add(f)
+    x = rng.getrandbits(64)
+    for i in range(40):  # a chain
+        x ^= sum(1 << b for b in rng.sample(range(64), 4))
+        fps.add(x)
+    fps |= {rng.getrandbits(64) for _ in range(300)} | {0}
+    sign = lambda f: f - (1 << 64) if f >> 63 else f
+    df = spark.createDataFrame([(sign(f),) for f in fps], "fp bigint")
+    got = {r["node"] % (1 << 64): r["root"] for r in near_duplicates.components(near_duplicates.links(df, bucket=bucket)).collect()}
+    want = brute_components(fps)
+    groups = lambda m: {frozenset(g) for g in _by(m).values() if len(g) > 1}
+    assert groups(got) == groups(want)
+
+
+def _by(m):
+    out = defaultdict(set)
+    for k, v in m.items():
+        out[v].add(k)
+    return out
+
+
+def test_chains_lose_no_pair():
+    import numpy as np
+
+    rng = random.Random(11)
+    for m in range(5, 13):
+        x = np.array([sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(500)], np.uint64)
+        assert near_duplicates.has_chain(x, m, 4).all()
+    assert not near_duplicates.has_chain(np.array([(1 << 64) - 1], np.uint64), 6, 4).any()
+
+
+def test_keep_one(spark, docs):
+    kept = near_duplicates.keep_one(docs)
+    found = near_duplicates.near_duplicates(docs)
+    assert kept.count() == found.select("root").distinct().count() and kept.columns == docs.columns
+
+
+# ---- 8
+
+
+def brute_statistics(t):
+    w, t = white_words(t), t or ""
+    places = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    hit = {j for i in range(len(w) - 4) if places[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in t.split("\n") if white_words(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(hit)
+
+
+def test_statistics(spark, docs):
+    rows = quality_rules.with_statistics(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(tuple(r[c] for c in quality_rules.BASE) == brute_statistics(r["text"]) for r in rows)
+
+
+def test_quality_rules(spark):
+    df, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    train, test = labels.where("doc_id % 5 <> 0"), labels.where("doc_id % 5 = 0")
+    rules = quality_rules.fit(df, train)
+    assert rules and all(str(c) for r in rules for c in r)
+    stats = quality_rules.with_statistics(df.join(test.select("doc_id"), "doc_id"), keep=["doc_id"])
+    rows = stats.join(test, "doc_id").select("quality", (~quality_rules.base_failed() & quality_rules.verdict(rules)).alias("kept")).collect()
+    good, bad = [r["kept"] for r in rows if r["quality"] == 1], [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.4
+    assert quality_rules.fit(df, labels.limit(0)) == []
+
+
+# ---- 9
+
+
+def test_license_scan(spark, docs):
+    rows = license_scan.scan_licenses(docs, license_scan.PHRASES + license_scan.NOTICES).collect()
+    want = Counter()
+    for d in docs.collect():
+        w = ascii_words(d["text"])
+        base = sorted((p.label, i) for p in license_scan.PHRASES for i in range(len(w)) if w[i : i + len(p.text.split())] == p.text.split())
+        want[(d["doc_id"], len(w), tuple(base))] += 1
+    got = Counter((r["doc_id"], r["n_words"], tuple(sorted((s["label"], s["first"]) for s in r["spans"] if s["template"] < 3))) for r in rows)
+    assert got == want
+    labels = {s["label"] for r in rows for s in r["spans"]}
+    assert {"mit", "apache-2.0", "gpl", "reserved"} <= labels
+    assert license_scan.scan_licenses(empty(spark), license_scan.PHRASES).count() == 0
+
+
+def test_merged_diagonals(spark):
+    text = "intro x permission is hereby granted free of any charge to any person obtaining a copy of this fine software and associated documentation files end"
+    df = spark.createDataFrame([(1, text), (2, "permission is granted"), (3, "all rights are reserved all rights reserved")], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r["spans"] for r in license_scan.scan_licenses(df, license_scan.PHRASES + license_scan.NOTICES).collect()}
+    assert [(s["label"], s["first"]) for s in rows[1]] == [("mit", 2)] and rows[2] == [] and [(s["first"], s["end"]) for s in rows[3]] == [(4, 7)]
+
+
+# ---- queries and the pipeline
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracles(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    out = con.execute(ORACLES[name])
+    cols = [c[0] for c in out.description]
+    df = QUERIES[name](spark, DATA)
+    assert sorted(df.columns) == sorted(cols)
+    assert sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr) == sorted(map(tuple, out.fetchall()), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_whole_tables(spark, name):
+    table = "pages" if name.startswith("op3_") else "documents"
+    assert QUERIES[name](spark, DATA).count() == spark.read.parquet(f"{DATA}/{table}.parquet").count()
+
+
+def test_pipeline(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    import sentencepiece
+
+    from vitrine.llm.common import read_table
+
+    docs = {r["doc_id"]: r["text"] for r in read_table(spark, DATA, "documents").collect()}
+    items = [(str(r["item_id"]), r["text"]) for r in read_table(spark, DATA, "benchmark").collect()]
+    of, first = brute_components({brute_fingerprint(t) for t in docs.values()}), {}
+    for d, t in docs.items():
+        c = of[brute_fingerprint(t)]
+        first[c] = min(d, first.get(c, d))
+    left = {d: docs[d] for d in first.values()}
+    left = {d: t for (d, t), x in zip(left.items(), brute_overlaps(left.values(), items)) if not x[1]}
+    rows = {r["doc_id"]: r for r in corpus_pipeline.run(spark, DATA).collect()}
+    assert rows.keys() == left.keys()
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    for d, t in left.items():
+        decoded = sp.decode(rows[d]["ids"])
+        assert rows[d]["n_tokens"] == len(rows[d]["ids"]) and hashlib.sha256(decoded.encode()).hexdigest() == rows[d]["decoded_sha256"]
+        assert not brute_base(decoded)
+        if not brute_base(t) and not re.search("[0-9a-f]{32}", t):
+            assert decoded == t

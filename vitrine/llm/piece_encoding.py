@@ -24,6 +24,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -235,8 +236,15 @@ def _with_codec(path: str, f: Callable):
     return make
 
 
+def _id_lists(codec: PieceCodec, texts: list[str | None]) -> pa.Array:
+    """Ids of all texts as one list column, never as Python numbers."""
+    each = [np.fromstring(b",".join([p[1] for p in codec.parts(t)]).decode(), np.int32, sep=",") if t else np.empty(0, np.int32) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *each])))
+
+
 def encode_column(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    f = lambda codec, column: [pa.array([codec.encode(t) for t in column.to_pylist()], pa.list_(pa.int32()))]
+    f = lambda codec, column: [_id_lists(codec, column.to_pylist())]
     return scan(df.withColumn(text, F.col(text).cast("string")), [text], f"`{out}` array<int>", _with_codec(path, f), keep)
 
 
@@ -245,11 +253,13 @@ def decode_column(df: DataFrame, path: str, ids: str = "ids", out: str = "decode
     return scan(df, [ids], f"`{out}` string", _with_codec(path, f), keep)
 
 
-def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Encodes and decodes each text in one pass: n_tokens, ids_sha256 and decoded_sha256."""
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, ids: bool = False) -> DataFrame:
+    """Encodes and decodes each text in one pass: n_tokens, ids_sha256 and decoded_sha256, and the ids if wanted."""
 
     def f(codec, column):
-        n, ids, decoded = [list(x) for x in zip(*[codec.digests(t) for t in column.to_pylist()])] if len(column) else ([], [], [])
-        return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+        texts = column.to_pylist()
+        n, coded, decoded = [list(x) for x in zip(*[codec.digests(t) for t in texts])] if texts else ([], [], [])
+        return [pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string()), *([_id_lists(codec, texts)] if ids else [])]
 
-    return scan(df.withColumn(text, F.col(text).cast("string")), [text], "n_tokens bigint, ids_sha256 string, decoded_sha256 string", _with_codec(path, f), keep)
+    made = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
+    return scan(df.withColumn(text, F.col(text).cast("string")), [text], made, _with_codec(path, f), keep)

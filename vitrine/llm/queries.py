@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, near_duplicates, piece_encoding, quality_rules, sharding, token_counts, warc
+from . import decontamination, language_id, license_scan, near_duplicates, personal_data, piece_encoding, quality_rules, sharding, token_counts, warc
 from .common import read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+@query()
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[personal_data.count_kind("base", k).alias(f"n_{k}") for k in personal_data.KINDS],
+        F.sha2(personal_data.joined("base"), 256).alias("base_sha256"), personal_data.joined("spans").alias("spans"),
+    )
+
+
 @query()
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -107,6 +116,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("doc_id", *quality_rules.BASE, failed.alias("base_failed"), (~failed & quality_rules.verdict(rules)).alias("kept"), quality_rules.rule_number(rules).alias("rule"))
 
 
+@query()
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = license_scan.PHRASES + license_scan.NOTICES
+    found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"), templates)
+    base = F.filter("spans", lambda s: s["template"] < len(license_scan.PHRASES))
+    starts = F.transform(base, lambda s: s["first"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"), F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 @query()
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -206,7 +206,7 @@ class WarcWriter(DataSourceArrowWriter):
                     out = None
                 if out is None:
                     names.append(f"{uuid.uuid4().hex}.warc{'.gz' * self.gz}")
-                    out = store.open_output_stream(f"{root}/.{names[-1]}")
+                    out = store.open_output_stream(f"{root}/.{names[-1]}", compression=None)
                 args = (r["kind"], r["record_id"], r["uri"] or "", r["payload"] or b"", r["digest"], r["length"], r["refers_to"], self.date)
                 if self.gz:  # one member for each record
                     plain = io.BytesIO()
