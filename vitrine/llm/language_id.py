@@ -2,7 +2,7 @@
 
 A text is a vector of hashed byte 2- and 3-grams of its lower-cased letters: sub-linear counts, times inverse document frequency,
 normalised. Each language has several centroids, found by spherical k-means on a bounded sample of labelled texts
-(``per_language`` documents of each language, those with the smallest hash of their id; texts are whole). A text gets the language of
+(``per_language`` documents of each language, those with the smallest hash of their id, drawn by the counts of all; texts are whole). A text gets the language of
 the centroid with the largest cosine. It is rejected if that cosine lies far below what training texts of its length
 reach (``margin`` times the lowest in the band of its length), which no text does that is written in a learned language.
 
@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scan
+from .common import cut, scan
 
 DIM, BLOCK, UNKNOWN = 4096, 128, "und"
+#: Counts of more labels than this are joined by a shuffle.
+MOST_LANGUAGES = 10_000
 #: ASCII characters that are no letters become blanks.
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -89,8 +91,14 @@ def _kmeans(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = 600, clusters: int = 3, margin: float = 0.5) -> Centroids | None:
     """Centroids from rows where ``trains`` holds; at most ``per_language`` documents of each language are read to the driver,
     as sparse counts. The first pass reads ids and languages only."""
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), doc_id)
-    ids = docs.where(trains & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(doc_id, lang).withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= per_language).select(F.col(doc_id).alias("__id")).distinct()
+    labelled = docs.where(trains & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"))
+    # By the counts, hashes under a bound that about four times the sample lies below: few rows of a language meet in a task, at any size.
+    counts = cut(labelled.groupBy("__lang").agg(F.count("*").alias("n")))
+    side = F.broadcast(counts) if counts.count() <= MOST_LANGUAGES else counts
+    draw = (F.shiftrightunsigned(F.xxhash64("__id"), 11).cast("double") + 0.5) / float(1 << 53)
+    low = labelled.withColumn("draw", draw).join(side, "__lang").where(F.col("draw") * F.col("n") < 4 * per_language)
+    order = Window.partitionBy("__lang").orderBy("draw", "__id")
+    ids = low.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language).select("__id").distinct()
 
     def make():
         def f(texts: pa.Array) -> list:
