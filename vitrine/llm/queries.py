@@ -69,7 +69,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     case when keep <> page_id then keep end refers_to from p left join g on p.h = g.h""")
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    warc.write_warc(warc.mark_revisits(read_table(spark, sf_dir, "pages")), path)
+    warc.write_warc(warc.mark_revisits(read_table(spark, sf_dir, "pages")), path, compression="gzip")
     page = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
     responses = warc.read_warc(spark, path).where("record_type = 'response'")
     revisits = warc.read_warc(spark, path, payload=False).where("record_type = 'revisit'")
