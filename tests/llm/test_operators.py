@@ -405,6 +405,14 @@ def test_merged_diagonals(spark):
     assert [(s["label"], s["first"]) for s in rows[1]] == [("mit", 2)] and rows[2] == [] and [(s["first"], s["end"]) for s in rows[3]] == [(4, 7)]
 
 
+def test_repeated_words_are_no_notice(spark):
+    rows = [(1, "cc by " * 8), (2, "under the " * 30), (3, "this work " * 9 + "x " + "licensed under cc by nc 4 0"), (4, "of the free software " * 40)]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"), license_scan.PHRASES + license_scan.NOTICES).collect()
+    labels = {r["doc_id"]: {s["label"] for s in r["spans"]} for r in found}
+    assert labels == {1: {"cc-by"}, 2: set(), 3: {"cc-by", "cc-by-nc-4.0"}, 4: set()}
+    assert next(len(r["spans"]) for r in found if r["doc_id"] == 1) == 8
+
+
 # ---- queries and the pipeline
 
 

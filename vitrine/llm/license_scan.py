@@ -3,7 +3,7 @@
 A text is lower-cased (A-Z) and cut into words. All rolling word k-grams of all texts are joined by hash, and verified by their words,
 to the places of the same k-grams in the templates. A hit at word ``i`` of a text and word ``j`` of a template votes for diagonal ``i - j``; neighbouring
 diagonals (words left out or put in) are merged, and a merged diagonal is a span whose score is the share of the template's
-k-grams that it holds. Exact templates need all their k-grams on one diagonal.
+k-grams that it holds, each place of the template once. Exact templates need all their k-grams on one diagonal.
 
 The templates are a parameter; their k-grams are broadcast only below ``BROADCAST_GRAMS``, else the join is shuffled. Words leave the
 scan only as hits, so what is shuffled is one narrow row for each text and each hit; the k-grams of a hot text
@@ -95,11 +95,13 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...], doc_id: str
     hits = places.join(side, same, "left").where("template is not null or pos is null or pos = 0")
     votes = hits.withColumn("diagonal", F.col("pos") - F.col("at")).select("row", "doc_id", "n_words", "template", "label", "share", "n_grams", "diagonal", "pos", "at")
     dealt = votes.repartition("row")
-    lines = dealt.groupBy("row", "doc_id", "n_words", "template", "label", "share", "n_grams", "diagonal").agg(F.count("at").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"))
-    order = Window.partitionBy("row", "template").orderBy("diagonal")
+    order = Window.partitionBy("row", "template").orderBy("diagonal", "pos")
     apart = F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("share") >= 1, 0).otherwise(gap)
-    runs = lines.withColumn("new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(order))
-    merged = runs.groupBy("row", "doc_id", "n_words", "template", "label", "share", "n_grams", "run").agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+    runs = dealt.withColumn("new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).withColumn("run", F.sum("new").over(order))
+    # A place of the template counts once in a run, however often a text repeats its words.
+    span_of = ["row", "doc_id", "n_words", "template", "label", "share", "n_grams", "run"]
+    once = runs.groupBy(*span_of, "at").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    merged = once.groupBy(*span_of).agg(F.count("at").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
     found = F.least(F.col("votes") / F.col("n_grams"), F.lit(1.0))
     good = F.col("template").isNotNull() & (found >= F.col("share"))
     span = F.when(good, F.struct("label", "template", F.col("first").cast("long").alias("first"), (F.col("last") + k).cast("long").alias("end"), found.alias("score")))
