@@ -231,6 +231,23 @@ def test_bootstrapped_contexts(spark):
     assert clean[100] == "you may please call <PHONE> or not" and clean[0] == "filler text 0 please call <PHONE> today" and clean[102] is None and clean[200] == rows[16][1]
 
 
+def test_masks_of_long_texts(spark):
+    """Many, touching and overlapping spans over block edges, characters beyond the basic plane, a null id and repeated rows."""
+    rng = random.Random(9)
+    words = ["🙂" * 700, "ü" * 2047, "a.b@c.org", "1.2.3.4", "+1.2.3.4555123", "4111 1111 1111 1111", "x", "+4111111111111111@m.io", "0123456789abcdef" * 2]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 60))) for _ in range(30)] + ["a.b@c.org", "1.2.3.41.2.3.4"]
+    df = spark.createDataFrame([(i if i else None, t, i) for i, t in enumerate(texts)] + [(5, texts[5], 5)], "doc_id bigint, text string, start int")
+    spans = {r["doc_id"]: sorted((s["start"], s["end"], s["rank"], s["kind"]) for s in r["spans"]) for r in personal_data.find_personal_data(df).collect()}
+    rows = personal_data.redact(df).collect()
+    assert len(rows) == len(texts) + 1 and rows[0].asDict().keys() == {"doc_id", "text", "start"}
+    for r in rows:
+        at, want = 0, ""
+        for start, end, _, kind in spans[r["doc_id"]]:
+            want += texts[r["start"]][at:start] + f"<{kind.upper()}>" if start >= at else ""
+            at = max(at, end)
+        assert r["text"] == want + texts[r["start"]][at:]
+
+
 # ---- 6
 
 

@@ -34,6 +34,8 @@ OTHER = r"(?:\G|(?<![A-Za-z0-9_.%+@-]))(?=[A-Za-z_.%+-]*+[0-9@])[A-Za-z0-9_.%+@-
 KINDS = ("email", "ip", "card", "phone")
 ORDER = (*KINDS, "secret")
 ROUNDS, SUPPORT, SHARE = 3, 5, 0.8
+#: Masking cuts texts into blocks of two to this power code points.
+_BLOCK = 11
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP_PARTS = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 
@@ -84,8 +86,10 @@ def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def without_overlaps(rows: DataFrame) -> DataFrame:
     """Drops identifiers of no fixed kind that touch a seed of the same row: the furthest end of the seeds before, and the nearest start behind."""
-    before = Window.partitionBy("row").orderBy("start", F.when(F.col("kind") == "other", 1).otherwise(0)).rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy("row").orderBy("start", F.when(F.col("kind") == "other", 1).otherwise(0)).rowsBetween(1, Window.unboundedFollowing)
+    other = F.when(F.col("kind") == "other", 1).otherwise(0)
+    before = Window.partitionBy("row").orderBy("start", other).rowsBetween(Window.unboundedPreceding, -1)
+    # What is behind is read backwards: a frame that shrinks from its start would be summed up anew for every row.
+    behind = Window.partitionBy("row").orderBy(F.desc("start"), other.desc()).rowsBetween(Window.unboundedPreceding, -1)
     seed = F.col("kind") != "other"
     touched = (F.coalesce(F.max(F.when(seed, F.col("end"))).over(before), F.lit(-1)) > F.col("start")) | (F.coalesce(F.min(F.when(seed, F.col("start"))).over(behind), F.lit(1 << 60)) < F.col("end"))
     return rows.withColumn("touched", touched).where((F.col("kind").isNull()) | seed | ~F.col("touched")).drop("touched")
@@ -133,24 +137,35 @@ def count_kind(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span (in order of start; overlaps run together) replaced by its kind in angle brackets."""
-    start = F.struct(F.lit(1).cast("long").alias("at"), F.lit("").alias("out"))
+def masked(text: Column, runs: Column, end: Column) -> Column:
+    """The text with each run replaced by its kind in angle brackets; ``runs`` has what stands free before each (from, start, kind), and
+    the text goes on at ``end``. The text is cut into blocks once, so no run looks at it from its beginning."""
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << _BLOCK}}}"), F.lit(0))
 
-    def step(acc, s):
-        free = s["start"] + 1 >= acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"].cast("int"), (s["start"] + 1 - acc["at"]).cast("int")), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.greatest(acc["at"], s["end"] + 1).alias("at"), F.when(free, more).otherwise(acc["out"]).alias("out"))
+    def piece(b: Column, first: Column, until: Column) -> Column:
+        at = F.shiftright(first, _BLOCK).cast("int")
+        near = F.slice(b, at + 1, F.greatest(F.shiftright(until, _BLOCK).cast("int") - at, F.lit(0)) + 1)
+        return F.substring(F.array_join(near, ""), first.bitwiseAND((1 << _BLOCK) - 1).cast("int") + 1, (until - first).cast("int"))
 
-    done = F.aggregate(spans, start, step)
-    return F.concat(done["out"], F.substring(text, done["at"].cast("int"), F.length(text)))
+    def whole(b: Column) -> Column:
+        parts = F.transform(runs, lambda s: F.concat(piece(b, s["from"], s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        return F.concat(F.array_join(parts, ""), piece(b, end, F.length(text).cast("long")))
+
+    # A variable of a lambda function is computed once.
+    return F.element_at(F.transform(F.array(blocks), whole), 1)
 
 
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """All documents with their spans masked; spans come back by doc id and text hash, and texts are shuffled once."""
+    """All documents with their spans masked (overlapping spans as one, by the kind of the first); spans come back by doc id and text hash,
+    and texts are shuffled once."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = find_personal_data(docs, doc_id, text, **options).where(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("__spans"))
-    once = found.groupBy("__id", "__h").agg(F.first("__spans").alias("__spans"))
+    found = find_personal_data(docs, doc_id, text, **options).where(F.size("spans") > 0)
+    once = found.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.first("spans").alias("spans"))
+    span = once.select("__id", "__h", F.explode("spans").alias("s")).select("__id", "__h", "s.*")
+    before = Window.partitionBy("__id", "__h").orderBy("start", "end", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = span.withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
+    run = F.when(F.col("start") >= F.col("from"), F.struct("start", "from", "kind"))
+    runs = placed.groupBy("__id", "__h").agg(F.sort_array(F.collect_list(run)).alias("__runs"), F.max("end").alias("__end"))
     on = docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(t) == F.col("__h"))
-    new = F.when(F.col("__spans").isNotNull(), masked(F.col(text), F.col("__spans"))).otherwise(F.col(text))
-    return docs.join(once, on, "left").select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
+    new = F.when(F.col("__runs").isNotNull(), masked(F.col(text).cast("string"), F.col("__runs"), F.col("__end"))).otherwise(F.col(text))
+    return docs.join(runs, on, "left").select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
