@@ -369,6 +369,81 @@ def test_keep_one(spark, docs):
     assert kept.count() == found.select("root").distinct().count() and kept.columns == docs.columns
 
 
+def brute_similar(texts, width=5):
+    """The root of each text, over all pairs of shingle sets with a Jaccard similarity of 0.8 or more."""
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
+    root = list(range(len(sets)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    return [top(i) for i in range(len(sets))]
+
+
+def test_similar_groups(spark, docs, monkeypatch):
+    """Near copies with a few changed words, a dense group, and texts that share a common line only."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    line = " ".join(rng.choice(words) for _ in range(30))
+    texts = []
+    for n in (6, 9, 40, 200, 200, 600):
+        whole = [rng.choice(words) for _ in range(n)]
+        for changes in (0, 0, 1, 1, 2, 3, 5, 9):
+            copy = list(whole)
+            for i in rng.sample(range(n), min(changes, n)):
+                copy[i] = "new" + str(rng.randint(0, 99))
+            texts.append(" ".join(copy))
+    dense = [rng.choice(words) for _ in range(150)]
+    for _ in range(60):
+        copy = list(dense)
+        for i in rng.sample(range(150), rng.randint(1, 5)):
+            copy[i] = rng.choice(words)
+        texts.append(" ".join(copy))
+    texts += [" ".join([line, *(rng.choice(words) for _ in range(rng.randint(3, 60)))]) for _ in range(60)]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    for sample in (near_duplicates.SAMPLE, 0):
+        monkeypatch.setattr(near_duplicates, "SAMPLE", sample)
+        groups = defaultdict(set)
+        for r in near_duplicates.similar_groups(df).collect():
+            groups[r["root"]].add(r["doc_id"])
+        want = defaultdict(set)
+        for i, root in enumerate(brute_similar(texts)):
+            want[root].add(i)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+        assert sorted(r["doc_id"] for r in near_duplicates.keep_one_similar(df).collect()) == sorted(min(g) for g in want.values())
+    own = [r["text"] for r in docs.collect()]
+    kept = near_duplicates.keep_one_similar(docs)
+    assert kept.count() == len(set(brute_similar(own))) and kept.columns == docs.columns
+    assert near_duplicates.keep_one_similar(empty(spark)).count() == 0
+
+
+def test_pipeline_drops_near_copies(spark):
+    """A copy with some changed words, which lies more than four bits from its original, goes."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(11)
+    whole = [f"w{rng.randint(0, 3000)}" for _ in range(300)]
+    texts = [" ".join(whole)]
+    for n in range(8):
+        copy = list(whole)
+        for i in rng.sample(range(300), 5):
+            copy[i] = f"new{n}"
+        texts.append(" ".join(copy))
+    assert max((brute_fingerprint(texts[0]) ^ brute_fingerprint(t)).bit_count() for t in texts) > 4
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, DATA).collect()] == [0]
+
+
 # ---- 8
 
 

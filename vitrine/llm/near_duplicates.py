@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, cut, scan
@@ -31,6 +31,12 @@ from .common import as_bytes, cut, scan
 BITS, SEED, BUCKET = 64, 42, 4096
 #: Chance meets for each fingerprint that the choice of segments allows.
 MEETS = 4
+#: The Jaccard similarity of near copies, as a fraction.
+SIMILAR = (4, 5)
+#: Texts of the sample that finds common shingles (at least; or a fiftieth of all), and how many of them have a common one.
+SAMPLE, OFTEN = 4096, 8
+#: More hashes than this are joined by a shuffle.
+MOST_HASHES = 4_000_000
 
 
 # ---- fingerprints
@@ -258,12 +264,16 @@ def near_duplicates(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: s
 
 
 def keep_one(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
-    """One row of each component: that with the smallest doc id (of repeated ids, one of them).
+    """One row of each component: that with the smallest doc id (of repeated ids, one of them)."""
+    return _first_rows(docs, near_duplicates(docs, t, doc_id, text, width, {"h": F.xxhash64(F.col(text).cast("string"))}), doc_id, text)
+
+
+def _first_rows(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The row of each root of ``found`` (doc_id, h, root) with the smallest doc id.
 
     The decision travels as narrow rows (doc id and a hash of the text); texts are shuffled once, by doc id.
     """
     mark = F.xxhash64(F.col(text).cast("string"))
-    found = near_duplicates(docs, t, doc_id, text, width, {"h": mark})
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("k")
     chosen = cut(found.groupBy("root").agg(first, F.count("*").alias("n")).select(F.col("k.doc_id").alias("__id"), F.col("k.h").alias("__h"), "n"))
     on = docs[doc_id].eqNullSafe(F.col("__id")) & (mark == F.col("__h"))
@@ -272,3 +282,164 @@ def keep_one(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: str = "t
     if repeated.isEmpty():
         return kept
     return kept.withColumn("__h", mark).dropDuplicates([doc_id, "__h"]).drop("__h")
+
+
+# ---- similar shingle sets
+
+
+def shingle_set(text: bytes | None, width: int = 5) -> np.ndarray:
+    """Distinct XXH64 of all ``width``-word shingles, in order; a shorter text is one shingle."""
+    import xxhash
+
+    words = text.lower().split() if text else []
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+    plain = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - width + 1].tolist()
+    return np.unique(np.array([xxhash.xxh64_intdigest(plain[s:e], SEED) for s, e in zip(starts, ends[width - 1 :].tolist())], np.uint64))
+
+
+def _prefix(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, common ones last: two sets that are similar enough have one of them in common."""
+    num, den = SIMILAR
+    if len(common):
+        last = np.isin(s, common, assume_unique=True)
+        s = np.concatenate([s[~last], s[last]])
+    return s[: len(s) + (-num * len(s)) // den + 1]
+
+
+def _common_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
+    """Shingles of ``OFTEN`` sampled texts. They only set the order of shingles, which may be any: no pair depends on the sample."""
+    share = max(1 / 50, SAMPLE / max(docs.count(), 1))
+    narrow = docs.select(F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    some = narrow.where((F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53) < share) & F.col("text").isNotNull())
+
+    def make():
+        def f(texts: pa.Array) -> list:
+            return [_lists([shingle_set(t, width) for t in as_bytes(texts)])]
+
+        return f
+
+    once = scan(some, ["text"], "grams array<bigint>", make, ["h"]).dropDuplicates(["h"])
+    often = once.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).select("g")
+    return np.sort(np.array([r["g"] for r in often.collect()], np.int64).view(np.uint64))
+
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)))
+
+
+def _node(s: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(s.tobytes(), SEED)
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    """How many shingles have each last byte: sets differ in at least the sum of the differences."""
+    return np.minimum(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int) -> DataFrame:
+    """The pairs whose sets have at least the Jaccard similarity ``SIMILAR``, counted exactly; whole sets only where sketches are near."""
+    num, den = SIMILAR
+
+    def both(of: DataFrame, columns: list[str], pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(of.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns]), end)
+        return pairs
+
+    def near():
+        def f(xs: pa.Array, ys: pa.Array, n: pa.Array, m: pa.Array) -> list:
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in (xs, ys))
+            apart = np.abs(x - y).sum(1, dtype=np.int64)
+            return [pa.array((num + den) * apart <= (den - num) * (n.to_numpy().astype(np.int64) + m.to_numpy()))]
+
+        return f
+
+    def same():
+        def f(xs: pa.Array, ys: pa.Array) -> list:
+            out = []
+            for x, y in zip(xs.to_pylist(), ys.to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(den * both >= num * (len(x) + len(y) - both))
+            return [pa.array(out, pa.bool_())]
+
+        return f
+
+    def whole():
+        def f(texts: pa.Array) -> list:
+            sets = [shingle_set(t, width) for t in as_bytes(texts)]
+            return [pa.array(np.array([_node(s) for s in sets], np.uint64).view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())]
+
+        return f
+
+    ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sketches = marked.select("node", "size", "sketch").join(ends(pairs), "node", "left_semi").dropDuplicates(["node"])
+    left = cut(scan(both(sketches, ["sketch", "size"], pairs), ["a_sketch", "b_sketch", "a_size", "b_size"], "ok boolean", near, ["a", "b"]).where("ok").select("a", "b"))
+    # One text of each node.
+    texts = cut(marked.join(ends(left), "node", "left_semi").groupBy("node").agg(F.min("h").alias("h")).select(F.col("h").alias("__h")))
+    side = F.broadcast(texts) if texts.count() <= MOST_HASHES else texts
+    chosen = narrow.join(side, F.col("h") == F.col("__h"), "left_semi")
+    sets = scan(chosen, ["text"], "node bigint, grams binary", whole, []).dropDuplicates(["node"])
+    return cut(scan(both(sets, ["grams"], left), ["a_grams", "b_grams"], "ok boolean", same, ["a", "b"]).where("ok").select("a", "b"))
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+    """(doc_id, h, root) of every row: ``root`` is that of a component of texts whose sets of ``width``-word shingles have a Jaccard
+    similarity of ``SIMILAR`` or more.
+
+    Exact: in one order of all shingles, two sets that are similar enough have a shingle among the first of both (prefix filter), and
+    the first one that they share leaves enough behind it in both (positional filter). Equal sets are one node. Pairs are verified
+    with whole sets, those of neighbours in a few orders first: then only pairs of different components are left to look at.
+    """
+    num, den = SIMILAR
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, text, width))
+
+    def firsts():
+        common = shared.value
+
+        def f(texts: pa.Array) -> list:
+            sets = [shingle_set(t, width) for t in as_bytes(texts)]
+            nodes = np.array([_node(s) for s in sets], np.uint64).view(np.int64)
+            return [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), _lists([_prefix(s, common) for s in sets]), pa.array([_sketch(s) for s in sets], pa.binary())]
+
+        return f
+
+    marked = cut(scan(narrow, ["text"], "node bigint, size int, prefix array<bigint>, sketch binary", firsts, ["doc_id", "h"]))
+    once = marked.select("node", "size", "prefix").dropDuplicates(["node"])
+    rows = once.select("node", "size", F.posexplode("prefix").alias("pos", "g"))
+    alone = Window.partitionBy("g")
+    # A row knows how many shingles it has from this one on.
+    met = cut(rows.withColumn("n", F.count("*").over(alone)).where("n > 1").select("g", "node", "size", (F.col("size") - F.col("pos")).alias("rest")))
+
+    def fits(x: str, y: str) -> Column:
+        size = [F.col(f"{c}.size") for c in (x, y)]
+        return (den * F.least(*size) >= num * F.greatest(*size)) & ((num + den) * F.least(F.col(f"{x}.rest"), F.col(f"{y}.rest")) >= num * (size[0] + size[1]))
+
+    def ends(x: str, y: str) -> list[Column]:
+        return [F.greatest(f"{x}.node", f"{y}.node").alias("a"), F.least(f"{x}.node", f"{y}.node").alias("b")]
+
+    me = F.struct("node", "size", "rest")
+    shuffled = alone.orderBy(F.xxhash64("node", F.pmod("g", F.lit(4))), "node")
+    neighbours = met.select(me.alias("x"), F.lag(me).over(shuffled).alias("y")).where("y is not null").where(fits("x", "y"))
+    near = cut(neighbours.select(*ends("x", "y")).distinct())
+    linked_now = _similar(near, marked, narrow, width)
+    of = components(linked_now)
+    placed = met.join(of, "node", "left").select("g", "node", "size", "rest", F.coalesce("root", "node").alias("root"))
+    counts = placed.groupBy("g", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("g").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("g", "main")
+    left = cut(placed.join(main, "g"))
+    pairs = left.where("root <> main").alias("x").join(left.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root")) & fits("x", "y"))
+    others = pairs.select(*ends("x", "y")).distinct().join(near, ["a", "b"], "left_anti")
+    edges = linked_now.unionByName(_similar(cut(others), marked, narrow, width))
+    return marked.join(components(edges), "node", "left").select("doc_id", "h", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+    """One row of each group of ``similar_groups``: that with the smallest doc id (of repeated ids, one of them)."""
+    return _first_rows(docs, similar_groups(docs, doc_id, text, width), doc_id, text)
