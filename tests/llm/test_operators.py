@@ -277,6 +277,20 @@ def test_language_rejection(spark):
     assert all(r["lang_rejected"] for r in language_id.identify(strange, model).collect())
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_short_texts_are_rejected(spark, sf):
+    """Short texts of unlearned scripts, at sizes whose samples have few short texts; short pieces of learned ones stay."""
+    df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    model = language_id.fit(df, ~language_id.held_out())
+    assert (model.floors > 0).all()
+    strange = ["привет мир", "это русский текст", "日本", "日本語の文章", "नमस्ते दुनिया", "γειά σου κόσμε"]
+    assert all(model.score(strange)[2])
+    assert language_id.identify(df, model).where("lang_rejected").count() == 0
+    texts = [r["text"] for r in df.where(language_id.held_out()).select("text").collect() if language_id.has_letter(r["text"])]
+    for n in (2, 4, 8):
+        assert sum(model.score([" ".join(list(dict.fromkeys(t.split()))[:n]) for t in texts])[2]) <= 0.01 * len(texts)
+
+
 # ---- 7
 
 

@@ -4,7 +4,8 @@ A text is a vector of hashed byte 2- and 3-grams of its lower-cased letters: sub
 normalised. Each language has several centroids, found by spherical k-means on a bounded sample of labelled texts
 (``per_language`` documents of each language, those with the smallest hash of their id, drawn by the counts of all; texts are whole). A text gets the language of
 the centroid with the largest cosine. It is rejected if that cosine lies far below what training texts of its length
-reach (``margin`` times the lowest in the band of its length), which no text does that is written in a learned language.
+reach (``margin`` times the lowest in the band of its length), which no text does that is written in a learned language. Short
+texts may be rare in the sample, so each of its texts also gives a short window for each low band: these have a floor at any table size.
 
 The model is one small matrix, broadcast; scoring is one pass without a shuffle, in blocks of ``BLOCK`` texts.
 
@@ -15,6 +16,7 @@ rows with a null language or id train nothing (but are predicted); repeated rows
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +33,8 @@ MOST_LANGUAGES = 10_000
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _PART = 1 << 20
+#: The highest band with windows, which are of 2 to 1023 grams; how many make a floor, and what share of them may lie below (windows of junk).
+WINDOWS, ENOUGH, BELOW = 9, 20, 0.01
 
 
 def has_letter(text: str | None) -> bool:
@@ -50,6 +54,20 @@ def gram_counts(text: str) -> np.ndarray:
     return out
 
 
+def windows(text: str) -> list[str]:
+    """A piece of the text's letters for each band up to ``WINDOWS`` that it is long enough for, from the start of a word on."""
+    raw = b" ".join(text.lower().encode().translate(_LETTERS).split())
+    starts = [0, *(i + 1 for i, c in enumerate(raw[: 1 << WINDOWS]) if c == 32)]
+    out = []
+    for b in range(1, WINDOWS + 1):
+        at = starts[zlib.crc32(raw[: 1 << WINDOWS], b) % len(starts)]
+        size = max(1, 3 << b >> 2)  # two grams for each byte
+        piece = raw[at : at + size].decode(errors="ignore").strip()
+        if at + size <= len(raw) and piece:
+            out.append(piece)
+    return out
+
+
 @dataclass
 class Centroids:
     languages: list[str]
@@ -100,27 +118,35 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang",
     order = Window.partitionBy("__lang").orderBy("draw", "__id")
     ids = low.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language).select("__id").distinct()
 
+    def packed(c: np.ndarray) -> bytes:
+        at = np.flatnonzero(c)
+        return at.astype("<u2").tobytes() + c[at].astype("<f4").tobytes()
+
+    def unpacked(grams: list) -> np.ndarray:
+        out = np.zeros((len(grams), DIM), np.float32)
+        for row, g in zip(out, grams):
+            n = len(g) // 6
+            row[np.frombuffer(g, "<u2", n)] = np.frombuffer(g, "<f4", n, 2 * n)
+        return out
+
     def make():
         def f(texts: pa.Array) -> list:
-            out = []
+            out, short = [], []
             for t in texts.to_pylist():
                 c = gram_counts(t) if has_letter(t) else np.zeros(DIM, np.int64)
-                at = np.flatnonzero(c)
-                out.append(at.astype("<u2").tobytes() + c[at].astype("<f4").tobytes())
-            return [pa.array(out, pa.binary())]
+                out.append(packed(c))
+                short.append([packed(gram_counts(w)) for w in windows(t)] if len(out[-1]) else [])
+            return [pa.array(out, pa.binary()), pa.array(short, pa.list_(pa.binary()))]
 
         return f
 
     # ids: at most per_language rows of each language.
     chosen = docs.where(trains & F.col(lang).isNotNull()).join(F.broadcast(ids), F.col(doc_id) == F.col("__id"), "left_semi").select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = [r for r in scan(chosen, ["text"], "grams binary", make, ["lang"]).collect() if len(r["grams"])]
+    rows = [r for r in scan(chosen, ["text"], "grams binary, windows array<binary>", make, ["lang"]).collect() if len(r["grams"])]
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
-    counts = np.zeros((len(rows), DIM), np.float32)
-    for row, r in zip(counts, rows):
-        n = len(r["grams"]) // 6
-        row[np.frombuffer(r["grams"], "<u2", n)] = np.frombuffer(r["grams"], "<f4", n, 2 * n)
+    counts = unpacked([r["grams"] for r in rows])
     idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
     languages = sorted({r["lang"] for r in rows})
     labels = np.array([languages.index(r["lang"]) for r in rows])
@@ -130,11 +156,30 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang",
     model.centres = np.vstack(found).astype(np.float32)
     model.owner = np.concatenate([np.full(len(c), i) for i, c in enumerate(found)])
     top, bands = (v @ model.centres.T).max(1), band(counts.sum(1))
-    floor = 0.0
-    for b in range(21):  # a band without enough texts takes the one below, where texts are shorter
-        if (bands == b).sum() >= 20:
-            floor = margin * float(top[bands == b].min())
-        model.floors[b] = floor
+    lowest = {b: float(top[bands == b].min()) for b in range(21) if (bands == b).sum() >= ENOUGH}
+    reached: dict[tuple[int, int], list[float]] = {}
+    for i, r in zip(labels, rows):
+        if r["windows"]:
+            short = unpacked(r["windows"])
+            for b, x in zip(band(short.sum(1)).tolist(), (model.vectors(short) @ model.centres.T).max(1).tolist()):
+                reached.setdefault((b, i), []).append(x)
+    for (b, _), found in reached.items():
+        if len(found) >= ENOUGH:
+            lowest[b] = min(lowest.get(b, 1.0), float(np.quantile(found, BELOW)))
+    for b in range(1, WINDOWS + 1):  # longer pieces don't score less
+        if b in lowest and b - 1 in lowest:
+            lowest[b] = max(lowest[b], lowest[b - 1])
+    for b in set(bands.tolist()) & set(lowest):  # a training text is never rejected
+        lowest[b] = min(lowest[b], float(top[bands == b].min()))
+    # A band without enough takes the one below, where texts are shorter; those below all others, less by the root of their length.
+    first = min(lowest, default=None)
+    for b in range(21):
+        if first is None:
+            model.floors[b] = margin * float(top.min()) * 0.5 ** (max(0, int(bands.min()) - b) / 2)
+        elif b < first:
+            model.floors[b] = margin * lowest[first] * 0.5 ** ((first - b) / 2)
+        else:
+            model.floors[b] = margin * lowest[b] if b in lowest else model.floors[b - 1]
     return model
 
 
