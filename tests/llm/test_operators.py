@@ -231,6 +231,17 @@ def test_bootstrapped_contexts(spark):
     assert clean[100] == "you may please call <PHONE> or not" and clean[0] == "filler text 0 please call <PHONE> today" and clean[102] is None and clean[200] == rows[16][1]
 
 
+def test_contexts_of_any_length(spark):
+    """Padding and words beyond 80 characters: the two words in front count whole."""
+    long = "x" * 100
+    rows = [(i, f"filler text {i} please call +1 (212) 555-{1000 + i} today") for i in range(12)]
+    rows += [(20 + i, f"the number a{long} of +1 (312) 555-{1000 + i} today") for i in range(12)]
+    rows += [(100, f"you may please call{' ' * 100}0212-555-0199 or not"), (101, f"you may please {chr(10) * 90} call 0212-555-0188"), (102, f"the a{long} of 0212-555-0177"), (103, f"the b{long} of 0212-555-0166")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: [rows[-4 + r["doc_id"] - 100][1][s["start"] : s["end"]] for s in r["spans"]] for r in personal_data.find_personal_data(df).collect() if r["doc_id"] >= 100}
+    assert found == {100: ["0212-555-0199"], 101: ["0212-555-0188"], 102: ["0212-555-0177"], 103: []}
+
+
 def test_masks_of_long_texts(spark):
     """Many, touching and overlapping spans over block edges, characters beyond the basic plane, a null id and repeated rows."""
     rng = random.Random(9)

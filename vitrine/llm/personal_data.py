@@ -54,13 +54,20 @@ def _valid(kind: Column, value: Column) -> Column:
     return F.when(kind == "ip", value.rlike(IP_PARTS)).when(kind == "card", F.when(n.between(16, 19), _luhn(digits)).otherwise(False)).when(kind == "phone", n.between(8, 15)).otherwise(True)
 
 
+def _context(before: Column) -> Column:
+    """The last two words backwards, of any length and with any space behind; empty without two. The end is enough where another
+    space stands before both; else all is read, backwards, so nothing is tried twice."""
+    near = F.regexp_extract(F.reverse(F.substring(before, -80, 80)), r"^\s*+(\S++\s++\S++)\s", 1)
+    return F.when(near != "", near).otherwise(F.regexp_extract(F.reverse(before), r"^\s*+(\S++\s++\S++)", 1))
+
+
 def _matches(text: Column, kind: str, pattern: str, guard: Column) -> Column:
-    """Matches of one pattern with what stands before each: (kind, number, length before, length, value, end of what is before)."""
+    """Matches of one pattern with what stands before each: (kind, number, length before, length, value, the two words before, backwards)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     before = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     rows = F.transform(
         F.arrays_zip(before.alias("b"), found.alias("v")),
-        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), F.length(x["b"]).cast("long").alias("skipped"), F.length(x["v"]).cast("long").alias("size"), x["v"].alias("value"), F.substring(x["b"], -80, 80).alias("before")),
+        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), F.length(x["b"]).cast("long").alias("skipped"), F.length(x["v"]).cast("long").alias("size"), x["v"].alias("value"), _context(x["b"]).alias("context")),
     )
     return F.when(guard, rows)
 
@@ -77,10 +84,8 @@ def occurrences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     sums = Window.partitionBy("row", "kind").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.repartition("row").withColumn("end", F.sum(F.col("skipped") + F.col("size")).over(sums)).where(F.col("kind").isNull() | _valid(F.col("kind"), F.col("value")) | (F.col("number") == 0))
     kind = F.when(_valid(F.col("kind"), F.col("value")), F.col("kind"))
-    words = F.slice(F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != ""), -2, 2)
-    words = F.when(F.size(F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != "")) >= 2, words)
     sort = F.when(F.contains("value", F.lit("@")), "@").when(F.col("value").rlike("[A-Za-z]"), "a").otherwise("9")
-    pattern = F.when(words.isNotNull(), F.xxhash64(F.array_join(words, " "), sort))
+    pattern = F.when(F.col("context") != "", F.xxhash64(F.array_join(F.split(F.lower(F.reverse("context")), r"\s+"), " "), sort))
     return placed.select("row", "doc_id", "h", kind.alias("kind"), (F.col("end") - F.col("size")).alias("start"), F.col("end"), pattern.alias("pattern"), F.xxhash64("value").alias("value"))
 
 
