@@ -236,6 +236,7 @@ def test_contexts_of_any_length(spark):
     long = "x" * 100
     rows = [(i, f"filler text {i} please call +1 (212) 555-{1000 + i} today") for i in range(12)]
     rows += [(20 + i, f"the number a{long} of +1 (312) 555-{1000 + i} today") for i in range(12)]
+    rows += [(40 + i, f"the{chr(97 + i)} end of 1999-{1000 + i} was") for i in range(12)]  # the word in front alone tells nothing
     rows += [(100, f"you may please call{' ' * 100}0212-555-0199 or not"), (101, f"you may please {chr(10) * 90} call 0212-555-0188"), (102, f"the a{long} of 0212-555-0177"), (103, f"the b{long} of 0212-555-0166")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r["doc_id"]: [rows[-4 + r["doc_id"] - 100][1][s["start"] : s["end"]] for s in r["spans"]] for r in personal_data.find_personal_data(df).collect() if r["doc_id"] >= 100}
