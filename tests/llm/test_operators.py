@@ -10,6 +10,7 @@ import duckdb
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from vitrine.llm import decontamination, language_id, license_scan, near_duplicates, personal_data, piece_encoding, quality_rules, sharding, token_counts, warc
 from vitrine.llm.queries import ORACLES, QUERIES, vocabulary
@@ -389,10 +390,17 @@ def test_chains_lose_no_pair():
     assert not near_duplicates.has_chain(np.array([(1 << 64) - 1], np.uint64), 6, 4).any()
 
 
-def test_keep_one(spark, docs):
-    kept = near_duplicates.keep_one(docs)
-    found = near_duplicates.near_duplicates(docs)
-    assert kept.count() == found.select("root").distinct().count() and kept.columns == docs.columns
+@pytest.mark.parametrize("most", [4_000_000, -1])
+def test_keep_one(spark, docs, monkeypatch, most):
+    """One row of each component, that with the smallest id; names may be any, equal rows count as one."""
+    monkeypatch.setattr(near_duplicates, "MOST_HASHES", most)
+    odd = docs.withColumnsRenamed({"lang": "h", "overlap": "__id", "spans": "root"}).withColumn("own", F.lit(1))
+    kept = near_duplicates.keep_one(odd)
+    first = {}
+    for r in near_duplicates.near_duplicates(docs).select("doc_id", "root.key").collect():
+        if r["doc_id"] is not None or r["key"] not in first:
+            first[r["key"]] = min((x for x in (r["doc_id"], first.get(r["key"])) if x is not None), default=None)
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(first.values(), key=repr) and kept.columns == odd.columns
 
 
 def brute_similar(texts, width=5):
@@ -560,9 +568,8 @@ def test_pipeline(spark):
 
     docs = {r["doc_id"]: r["text"] for r in read_table(spark, DATA, "documents").collect()}
     items = [(str(r["item_id"]), r["text"]) for r in read_table(spark, DATA, "benchmark").collect()]
-    of, first = brute_components({brute_fingerprint(t) for t in docs.values()}), {}
-    for d, t in docs.items():
-        c = of[brute_fingerprint(t)]
+    first = {}
+    for d, c in zip(docs, brute_similar(docs.values())):
         first[c] = min(d, first.get(c, d))
     left = {d: docs[d] for d in first.values()}
     left = {d: t for (d, t), x in zip(left.items(), brute_overlaps(left.values(), items)) if not x[1]}

@@ -247,41 +247,62 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))
 
 
-def near_duplicates(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: str = "text", width: int = 4, carry: dict[str, Column] | None = None) -> DataFrame:
-    """(doc_id, fp, root, component_id) of every row, and what ``carry`` computes from the row.
+def _rooted(marked: DataFrame, reps: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``marked`` (doc_id, h, ``key``) with ``root``: the first row (none, doc_id, h) and the key of the least node of its component.
 
-    ``root`` is the smallest fingerprint (signed) of the component, ``component_id`` its smallest doc id.
+    Nodes are ordered by their first row before the stars, so a component's label says what it is named by, and nothing is joined by component.
+    ``reps`` has the first row of each key; keys without an edge are their own root.
     """
-    extra = carry or {}
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *[c.alias(n) for n, c in extra.items()])
-    marked = cut(with_fingerprint(narrow, width=width, keep=["doc_id", *extra]))
-    fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    of = components(links(fps, t)).withColumnRenamed("node", "fp")
-    rooted = fps.join(of, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "root", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "root", "component_id", *extra)
+    node = F.struct("rep", F.col(key).alias("key"))
+    named = edges.join(reps.select(F.col(key).alias("a"), node.alias("u")), "a").join(reps.select(F.col(key).alias("b"), node.alias("v")), "b")
+    of = components(named.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    roots = reps.join(of.select(F.col("node.key").alias(key), "root"), key, "left").select(key, F.coalesce("root", node).alias("root"))
+    return marked.join(roots, key)
+
+
+def _first_row() -> Column:
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep")
+
+
+def near_duplicates(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
+    """(doc_id, h, fp, root, component_id) of every row; h is a hash of the text.
+
+    ``root`` names the component by its first row (none, doc_id, h) and that row's fingerprint, ``component_id`` is its smallest doc id.
+    """
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    marked = cut(with_fingerprint(narrow, width=width, keep=["doc_id", "h"]))
+    reps = cut(marked.groupBy("fp").agg(_first_row()))
+    return _rooted(marked, reps, links(reps, t), "fp").select("doc_id", "h", "fp", "root", F.col("root.rep.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, t: int = 4, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
-    """One row of each component: that with the smallest doc id (of repeated ids, one of them)."""
-    return _first_rows(docs, near_duplicates(docs, t, doc_id, text, width, {"h": F.xxhash64(F.col(text).cast("string"))}), doc_id, text)
+    """One row of each component: that with the smallest doc id (of repeated ids, one of them). Any column names may stand in ``docs``."""
+    return _first_rows(docs, near_duplicates(docs, t, doc_id, text, width), doc_id, text)
 
 
 def _first_rows(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The row of each root of ``found`` (doc_id, h, root) with the smallest doc id.
+    """The first row of each root of ``found`` (doc_id, h, root).
 
-    The decision travels as narrow rows (doc id and a hash of the text); texts are shuffled once, by doc id.
+    What goes travels as narrow rows (doc id and a hash of the text), broadcast while there are at most ``MOST_HASHES``; only above that are
+    texts shuffled.
     """
-    mark = F.xxhash64(F.col(text).cast("string"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("k")
-    chosen = cut(found.groupBy("root").agg(first, F.count("*").alias("n")).select(F.col("k.doc_id").alias("__id"), F.col("k.h").alias("__h"), "n"))
-    on = docs[doc_id].eqNullSafe(F.col("__id")) & (mark == F.col("__h"))
-    kept = docs.join(chosen.select("__id", "__h"), on, "left_semi")
-    repeated = found.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1").limit(1)
-    if repeated.isEmpty():
-        return kept
-    return kept.withColumn("__h", mark).dropDuplicates([doc_id, "__h"]).drop("__h")
+    first = F.col("doc_id").eqNullSafe(F.col("root.rep.doc_id")) & (F.col("h") == F.col("root.rep.h"))
+    keys = cut(found.select("doc_id", "h", first.alias("first")).groupBy("doc_id", "h", "first").agg(F.count("*").alias("n")).where("not first or n > 1"))
+
+    def side(kind: str) -> tuple[DataFrame, int]:
+        some = keys.where(kind).select(F.col("doc_id").alias("id"), F.col("h").alias("mark"))
+        n = some.count()
+        return (F.broadcast(some) if n <= MOST_HASHES else some), n
+
+    # The row travels as one struct, so no name can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row")[doc_id].alias("own"), F.xxhash64(F.col("row")[text].cast("string")).alias("h"))
+    on = F.col("own").eqNullSafe(F.col("id")) & (F.col("h") == F.col("mark"))
+    kept = rows.join(side("not first")[0], on, "left_anti")
+    again, n = side("first")
+    if n:  # of equal rows one stays
+        kept = kept.join(again, on, "left_anti").unionByName(kept.join(again, on, "left_semi").dropDuplicates(["own", "h"]))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 # ---- similar shingle sets
@@ -389,12 +410,13 @@ def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int)
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
-    """(doc_id, h, root) of every row: ``root`` is that of a component of texts whose sets of ``width``-word shingles have a Jaccard
+    """(doc_id, h, root) of every row: ``root`` names a component by its first row (none, doc_id, h); components are of texts whose sets of ``width``-word shingles have a Jaccard
     similarity of ``SIMILAR`` or more.
 
     Exact: in one order of all shingles, two sets that are similar enough have a shingle among the first of both (prefix filter), and
     the first one that they share leaves enough behind it in both (positional filter). Equal sets are one node. Pairs are verified
-    with whole sets, those of neighbours in a few orders first: then only pairs of different components are left to look at.
+    with whole sets, those of neighbours in a few orders, and of each text with the one in the middle of those that share a shingle, first:
+    then only pairs of different components are left to look at.
     """
     num, den = SIMILAR
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
@@ -412,10 +434,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     marked = cut(scan(narrow, ["text"], "node bigint, size int, prefix array<bigint>, sketch binary", firsts, ["doc_id", "h"]))
     once = marked.select("node", "size", "prefix").dropDuplicates(["node"])
-    rows = once.select("node", "size", F.posexplode("prefix").alias("pos", "g"))
+    rows = once.select("node", "size", F.size("prefix").alias("firsts"), F.posexplode("prefix").alias("pos", "g"))
     alone = Window.partitionBy("g")
     # A row knows how many shingles it has from this one on.
-    met = cut(rows.withColumn("n", F.count("*").over(alone)).where("n > 1").select("g", "node", "size", (F.col("size") - F.col("pos")).alias("rest")))
+    met = cut(rows.withColumn("n", F.count("*").over(alone)).where("n > 1").select("g", "node", "size", (F.col("size") - F.col("pos")).alias("rest"), "n", "firsts"))
 
     def fits(x: str, y: str) -> Column:
         size = [F.col(f"{c}.size") for c in (x, y)]
@@ -427,7 +449,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     me = F.struct("node", "size", "rest")
     shuffled = alone.orderBy(F.xxhash64("node", F.pmod("g", F.lit(4))), "node")
     neighbours = met.select(me.alias("x"), F.lag(me).over(shuffled).alias("y")).where("y is not null").where(fits("x", "y"))
-    near = cut(neighbours.select(*ends("x", "y")).distinct())
+    # A text whose shingles are the most common ones is likely what others are copies of.
+    middle = met.groupBy("node").agg((F.sum("n") / F.first("firsts")).alias("middle"))
+    ranked = met.join(middle, "node")
+    pivots = ranked.select(me.alias("x"), F.max_by(me, F.struct("middle", "node")).over(alone).alias("y")).where("x.node <> y.node").where(fits("x", "y"))
+    near = cut(neighbours.select(*ends("x", "y")).unionByName(pivots.select(*ends("x", "y"))).distinct())
     linked_now = _similar(near, marked, narrow, width)
     of = components(linked_now)
     placed = met.join(of, "node", "left").select("g", "node", "size", "rest", F.coalesce("root", "node").alias("root"))
@@ -437,7 +463,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = left.where("root <> main").alias("x").join(left.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root")) & fits("x", "y"))
     others = pairs.select(*ends("x", "y")).distinct().join(near, ["a", "b"], "left_anti")
     edges = linked_now.unionByName(_similar(cut(others), marked, narrow, width))
-    return marked.join(components(edges), "node", "left").select("doc_id", "h", F.coalesce("root", "node").alias("root"))
+    reps = cut(marked.groupBy("node").agg(_first_row()))
+    return _rooted(marked.select("doc_id", "h", "node"), reps, edges, "node").select("doc_id", "h", "root")
 
 
 def keep_one_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
