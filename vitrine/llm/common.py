@@ -46,6 +46,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of an Arrow batch that goes to a Python worker, unless the session sets it: with long texts a batch has fewer rows.
+ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def scan(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Callable[..., list]], keep: list[str] | None = None) -> DataFrame:
     """Appends columns that a Python function makes from whole Arrow columns, batch by batch, without a shuffle.
 
@@ -54,6 +58,8 @@ def scan(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Call
     output replaces a kept column of its name.
     """
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(ARROW_BATCH[0], None) is None:
+        df.sparkSession.conf.set(*ARROW_BATCH)
     added = T._parse_datatype_string(outputs)
     names = [c for c in (df.columns if keep is None else keep) if c not in added.names]
     fed = df.select(*dict.fromkeys([*names, *inputs]))

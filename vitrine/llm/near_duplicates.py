@@ -434,10 +434,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     marked = cut(scan(narrow, ["text"], "node bigint, size int, prefix array<bigint>, sketch binary", firsts, ["doc_id", "h"]))
     once = marked.select("node", "size", "prefix").dropDuplicates(["node"])
-    rows = once.select("node", "size", F.size("prefix").alias("firsts"), F.posexplode("prefix").alias("pos", "g"))
+    rows = once.select("node", "size", F.posexplode("prefix").alias("pos", "g"))
     alone = Window.partitionBy("g")
     # A row knows how many shingles it has from this one on.
-    met = cut(rows.withColumn("n", F.count("*").over(alone)).where("n > 1").select("g", "node", "size", (F.col("size") - F.col("pos")).alias("rest"), "n", "firsts"))
+    met = cut(rows.withColumn("n", F.count("*").over(alone)).where("n > 1").select("g", "node", "size", (F.col("size") - F.col("pos")).alias("rest"), "n"))
 
     def fits(x: str, y: str) -> Column:
         size = [F.col(f"{c}.size") for c in (x, y)]
@@ -450,7 +450,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shuffled = alone.orderBy(F.xxhash64("node", F.pmod("g", F.lit(4))), "node")
     neighbours = met.select(me.alias("x"), F.lag(me).over(shuffled).alias("y")).where("y is not null").where(fits("x", "y"))
     # A text whose shingles are the most common ones is likely what others are copies of.
-    middle = met.groupBy("node").agg((F.sum("n") / F.first("firsts")).alias("middle"))
+    firsts = F.first("size") - F.ceil(F.first("size") * num / den) + 1
+    middle = met.groupBy("node").agg((F.sum("n") / firsts).alias("middle"))
     ranked = met.join(middle, "node")
     pivots = ranked.select(me.alias("x"), F.max_by(me, F.struct("middle", "node")).over(alone).alias("y")).where("x.node <> y.node").where(fits("x", "y"))
     near = cut(neighbours.select(*ends("x", "y")).unionByName(pivots.select(*ends("x", "y"))).distinct())
