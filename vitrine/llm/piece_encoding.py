@@ -7,8 +7,9 @@ are then recovered backwards from the end. That takes time in proportion to the
 tests are remembered by pair.
 
 No piece of these models has a blank mark behind another character, so merges never reach across the start of a word; nor do they
-across any two neighbours that stand side by side in no piece. The table is filled for each part between such places, and
-results of short words and parts are remembered in tables of bounded size. :class:`PieceCodec` checks this
+across any two neighbours that stand side by side in no piece. The table is filled for each part between such places, and the ids of
+short words and parts are remembered, as text, in two tables of at most ``REMEMBERED`` entries each (some 160 bytes an entry: 65 MB a worker). A part's ids are decoded when they are found; since
+they give the part again, a text decodes to itself, but for parts that differ, which are kept. :class:`PieceCodec` checks this
 property, and a fixed set of probes against the library, when it loads a model, and refuses models that differ (other
 normalizers, other types).
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import scan
 
 MARK = "▁"
-REMEMBERED, REMEMBERED_CHARS, PAIRS = 400_000, 48, 600_000
+REMEMBERED, REMEMBERED_CHARS, PAIRS = 200_000, 48, 300_000
 #: Numbers of characters without a piece start here; a pair of numbers is one number to this base.
 LONE, WIDE = 1 << 24, 1 << 26
 PROBES = ("", " ", "  a\tb  c\n", "Hello, world! 123 456", "ﬁ é① 你好 \U0001f600 é", "aaaa  aaaaa\n\n\n    x=1;\ty", "<s> </s> <unk> <0x41>", f"a{MARK}b {MARK}", "İıſ K ½", " 　x​", "ß" * 30, "internationalization antidisestablishmentarianism")
@@ -59,11 +60,13 @@ class PieceCodec:
         for p, i in normal.items():
             self.machine.add_word(p, (i, len(p)))
         self.machine.make_automaton()
-        #: Results by part, blanks for marks; the older half is dropped when the newer is full.
-        self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        #: Ids by part, blanks for marks; the older half is dropped when the newer is full.
+        self.known: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.halves: dict[str, tuple[str, str] | None] = {}
-        self.old: dict[str, tuple[int, bytes, bytes]] = {}
+        self.old: dict[str, bytes] = {}
+        #: What parts decode to that don't give themselves.
+        self.differs: dict[str, bytes] = {}
         for probe in PROBES:
             if self.encode(probe) != sp.encode(probe) or self.decode(self.encode(probe)) != sp.decode(sp.encode(probe)).encode():
                 raise ValueError(f"{path}: this model encodes {probe!r} by other rules")
@@ -173,23 +176,23 @@ class PieceCodec:
         out.reverse()
         return out
 
-    def _part(self, part: str) -> tuple[int, bytes, bytes]:
-        """(number of ids, ids as text, decoded bytes)"""
+    def _part(self, part: str) -> bytes:
+        """The ids of a part, joined by commas."""
         if (found := self.old.get(part)) is None:
-            ids, raw = self.tokens(part.replace(" ", MARK)), self.raw
+            ids = self.tokens(part.replace(" ", MARK))
             if max(ids) >= LONE:
                 ids = [i for t in ids for i in ([t] if t < LONE else [self.bytes[b] for b in chr(t - LONE).encode()])]
-            found = (len(ids), ",".join(map(str, ids)).encode(), b"".join([raw[i] for i in ids]))
+            found = ",".join(map(str, ids)).encode()
+            if (decoded := b"".join([self.raw[i] for i in ids])) != part.encode():
+                self.differs[part] = decoded
         if len(part) <= REMEMBERED_CHARS:
             if len(self.known) >= REMEMBERED:
                 self.known, self.old = {}, self.known
             self.known[part] = found
         return found
 
-    def parts(self, text: str | None) -> list[tuple[int, bytes, bytes]]:
-        """Results of the parts of a text in order; the library puts one blank before the first."""
-        if not text:
-            return []
+    def parts(self, text: str) -> tuple[list[str], list[bytes]]:
+        """The parts of a text in order and their ids; the library puts one blank before the first."""
         text = " " + text.replace(MARK, " ")
         if self.runs:
             parts = self.runs.findall(text)
@@ -201,12 +204,24 @@ class PieceCodec:
         for a in range(0, len(parts), 4096):  # the table may be a new one after each batch
             get = self.known.get
             out += [get(p) or make(p) for p in parts[a : a + 4096]]
-        return out
+        return parts, out
 
     # ---- whole texts
 
+    def joined(self, text: str | None) -> tuple[bytes, bytes]:
+        """(ids joined by commas, decoded text in UTF-8)"""
+        if not text:
+            return b"", b""
+        parts, ids = self.parts(text)
+        if self.differs and not self.differs.keys().isdisjoint(parts):
+            decoded = b"".join([self.differs.get(p) or p.encode() for p in parts])[1:]
+        else:
+            decoded = text.replace(MARK, " ").encode()
+        return b",".join(ids), decoded
+
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for w in self.parts(text) for i in w[1].split(b",")]
+        ids = self.joined(text)[0]
+        return [int(i) for i in ids.split(b",")] if ids else []
 
     def decode(self, ids: list[int]) -> bytes:
         """Text of ids in UTF-8; bytes that are no character become U+FFFD, the blank in front goes."""
@@ -215,12 +230,6 @@ class PieceCodec:
         out = out[1:] if out[:1] == b" " and self.pieces[ids[0]][:1] == MARK else out
         return out.decode("utf-8", "replace").encode()
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """(number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text)"""
-        parts = self.parts(text)
-        decoded = b"".join([w[2] for w in parts])[1:]
-        return sum([w[0] for w in parts]), hashlib.sha256(b",".join([w[1] for w in parts])).hexdigest(), hashlib.sha256(decoded).hexdigest()
-
 
 @lru_cache(maxsize=2)
 def load_codec(path: str) -> PieceCodec:
@@ -236,15 +245,15 @@ def _with_codec(path: str, f: Callable):
     return make
 
 
-def _id_lists(codec: PieceCodec, texts: list[str | None]) -> pa.Array:
+def _id_lists(joined: list[bytes]) -> pa.Array:
     """Ids of all texts as one list column, never as Python numbers."""
-    each = [np.fromstring(b",".join([p[1] for p in codec.parts(t)]).decode(), np.int32, sep=",") if t else np.empty(0, np.int32) for t in texts]
+    each = [np.fromstring(x.decode(), np.int32, sep=",") if x else np.empty(0, np.int32) for x in joined]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *each])))
 
 
 def encode_column(df: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    f = lambda codec, column: [_id_lists(codec, column.to_pylist())]
+    f = lambda codec, column: [_id_lists([codec.joined(t)[0] for t in column.to_pylist()])]
     return scan(df.withColumn(text, F.col(text).cast("string")), [text], f"`{out}` array<int>", _with_codec(path, f), keep)
 
 
@@ -257,9 +266,15 @@ def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | N
     """Encodes and decodes each text in one pass: n_tokens, ids_sha256 and decoded_sha256, and the ids if wanted."""
 
     def f(codec, column):
-        texts = column.to_pylist()
-        n, coded, decoded = [list(x) for x in zip(*[codec.digests(t) for t in texts])] if texts else ([], [], [])
-        return [pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string()), *([_id_lists(codec, texts)] if ids else [])]
+        joined, n, coded, decoded = [], [], [], []
+        for t in column.to_pylist():
+            x, y = codec.joined(t)
+            n.append(x.count(b",") + 1 if x else 0)
+            coded.append(hashlib.sha256(x).hexdigest())
+            decoded.append(hashlib.sha256(y).hexdigest())
+            if ids:
+                joined.append(x)
+        return [pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string()), *([_id_lists(joined)] if ids else [])]
 
     made = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return scan(df.withColumn(text, F.col(text).cast("string")), [text], made, _with_codec(path, f), keep)
