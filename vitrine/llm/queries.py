@@ -118,7 +118,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    templates = license_scan.PHRASES + license_scan.NOTICES
+    templates = license_scan.PHRASES + license_scan.NOTICES + license_scan.TEXTS
     found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"), templates)
     base = F.filter("spans", lambda s: s["template"] < len(license_scan.PHRASES))
     starts = F.transform(base, lambda s: s["first"])
