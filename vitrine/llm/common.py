@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -81,3 +82,22 @@ def scan(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Call
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of a string column without decoding it."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+
+
+#: A key with more than this share of all rows is hot; there are fewer than its inverse.
+HOT_SHARE = 1 / 1000
+
+
+def hot_keys(many: DataFrame, key: str) -> DataFrame:
+    """The keys that more than ``HOT_SHARE`` of the rows have: at most 1000."""
+    counts = many.groupBy(key).agg(F.count("*").alias("n"))
+    total = many.count()
+    return cut(counts.where(F.col("n") > total * HOT_SHARE).select(key))
+
+
+def join_hot(many: DataFrame, one: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The inner join of ``many`` with ``one``, which has narrow rows, one for each key: rows of ``hot`` keys stay where they are, the others are shuffled."""
+    if hot.isEmpty():
+        return many.join(one, key)
+    beside = F.broadcast(cut(one.join(F.broadcast(hot), key, "left_semi")))  # at most 1000 rows
+    return many.join(beside, key).unionByName(many.join(F.broadcast(hot), key, "left_anti").join(one, key))

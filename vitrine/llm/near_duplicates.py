@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, scan
+from .common import as_bytes, cut, hot_keys, join_hot, scan
 
 BITS, SEED, BUCKET = 64, 42, 4096
 #: Chance meets for each fingerprint that the choice of segments allows.
@@ -254,10 +254,12 @@ def _rooted(marked: DataFrame, reps: DataFrame, edges: DataFrame, key: str) -> D
     ``reps`` has the first row of each key; keys without an edge are their own root.
     """
     node = F.struct("rep", F.col(key).alias("key"))
-    named = edges.join(reps.select(F.col(key).alias("a"), node.alias("u")), "a").join(reps.select(F.col(key).alias("b"), node.alias("v")), "b")
+    edges, named = cut(edges), edges
+    for end, name in (("a", "u"), ("b", "v")):
+        named = join_hot(edges if end == "a" else named, reps.select(F.col(key).alias(end), node.alias(name)), end, hot_keys(edges, end))
     of = components(named.select(F.col("u").alias("a"), F.col("v").alias("b")))
     roots = reps.join(of.select(F.col("node.key").alias(key), "root"), key, "left").select(key, F.coalesce("root", node).alias("root"))
-    return marked.join(roots, key)
+    return join_hot(marked, roots, key, hot_keys(marked, key))
 
 
 def _first_row() -> Column:
@@ -367,10 +369,12 @@ def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int)
     """The pairs whose sets have at least the Jaccard similarity ``SIMILAR``, counted exactly; whole sets only where sketches are near."""
     num, den = SIMILAR
 
-    def both(of: DataFrame, columns: list[str], pairs: DataFrame) -> DataFrame:
+    def both(of: DataFrame, columns: list[str], pairs: DataFrame, narrow: bool = False) -> DataFrame:
+        out = pairs
         for end in ("a", "b"):
-            pairs = pairs.join(of.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns]), end)
-        return pairs
+            side = of.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns])
+            out = join_hot(out, side, end, hot_keys(pairs, end)) if narrow else out.join(side, end)
+        return out
 
     def near():
         def f(xs: pa.Array, ys: pa.Array, n: pa.Array, m: pa.Array) -> list:
@@ -400,7 +404,7 @@ def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int)
 
     ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sketches = marked.select("node", "size", "sketch").join(ends(pairs), "node", "left_semi").dropDuplicates(["node"])
-    left = cut(scan(both(sketches, ["sketch", "size"], pairs), ["a_sketch", "b_sketch", "a_size", "b_size"], "ok boolean", near, ["a", "b"]).where("ok").select("a", "b"))
+    left = cut(scan(both(sketches, ["sketch", "size"], pairs, narrow=True), ["a_sketch", "b_sketch", "a_size", "b_size"], "ok boolean", near, ["a", "b"]).where("ok").select("a", "b"))
     # One text of each node.
     texts = cut(marked.join(ends(left), "node", "left_semi").groupBy("node").agg(F.min("h").alias("h")).select(F.col("h").alias("__h")))
     side = F.broadcast(texts) if texts.count() <= MOST_HASHES else texts
