@@ -36,9 +36,10 @@ def ordered_string_agg(df: DataFrame, group: Sequence[str], value: str, alias: s
     return df.groupBy(*group).agg(F.expr(f"listagg(`{value}`, '{quoted}') within group (order by `{value}`)").alias(alias))
 
 
-def baseline_avg(value: str, partition: str, order: str, rows: int = 7) -> Column:
+def baseline_avg(value: str, partition: str, order: str | Sequence[str], rows: int = 7) -> Column:
     """Mean over the ``rows`` rows before the current one (rows, not days); null on a group's first row."""
-    return F.avg(value).over(Window.partitionBy(partition).orderBy(order).rowsBetween(-rows, -1))
+    by = [order] if isinstance(order, str) else order
+    return F.avg(value).over(Window.partitionBy(partition).orderBy(*by).rowsBetween(-rows, -1))
 
 
 def weighted_mean(value: str, weight: str) -> Column:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ENGLISH_STOPWORDS, english_tokens, epoch_to_timestamp, first_or_null, joined_names, normalize_language, release_date, safe_int
-from ..operators import active_semi_join, baseline_avg, conditional_sums, insert_only, keyed_update, latest_per_key, ordered_string_agg, replace_groups, top_n_per_group, union_by_name, upsert
-from . import gold, marts
+from ..operators import active_semi_join, baseline_avg, conditional_sums, insert_only, keyed_update, latest_per_key, ordered_string_agg, replace_groups, top_n_per_group, union_by_name, upsert, weighted_mean
+from . import gold, marts, silver
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,7 +49,8 @@ def player_daily_avg(spark, d):
 @query("""select user_id app_id, event_type "language", cast(ts as date) review_date, cast(count(*) as bigint) review_count
     from events group by 1, 2, 3""")
 def review_daily_count(spark, d):
-    return table(spark, d, "events").groupBy(F.col("user_id").alias("app_id"), F.col("event_type").alias("language"), F.to_date("ts").alias("review_date")).agg(F.count("*").alias("review_count"))
+    lake = table(spark, d, "events").select(F.col("user_id").alias("appid"), F.col("event_type").alias("language"), F.col("ts").alias("timestamp_created"))
+    return silver.review_daily(lake).select(F.col("app_id"), "language", "review_date", F.col("review_count").cast("long").alias("review_count"))
 
 
 CENTS_SQL = """select user_id app_id, event_type "language", cast(ts as date) review_date,
@@ -147,8 +148,7 @@ def discount_playtime_trend(spark, d):
 @query("""select user_id app_id, cast(ts as date) "date", round(avg(value) over (partition by user_id order by ts, event_id
     rows between 7 preceding and 1 preceding), 6) baseline from events""")
 def trailing_baseline(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-7, -1)
-    return table(spark, d, "events").select(F.col("user_id").alias("app_id"), F.to_date("ts").alias("date"), F.round(F.avg("value").over(w), 6).alias("baseline"))
+    return table(spark, d, "events").select(F.col("user_id").alias("app_id"), F.to_date("ts").alias("date"), F.round(baseline_avg("value", "user_id", ["ts", "event_id"]), 6).alias("baseline"))
 
 
 @query("""select cast(ts as date) review_date, cast(sum(case when event_type='view' then 1 else 0 end) as bigint) views,
@@ -161,8 +161,8 @@ def conditional_counts(spark, d):
 @query("""select l_partkey, cast(sum(cast(l_quantity as bigint) * cast(round(l_discount*100) as bigint)) as double)
     / nullif(cast(sum(cast(l_quantity as bigint)) as double), 0) mean_discount from lineitem group by 1""")
 def weighted_mean_discount(spark, d):
-    q, off = F.col("l_quantity").cast("long"), F.round(F.col("l_discount") * 100).cast("long")
-    return table(spark, d, "lineitem").groupBy("l_partkey").agg((F.sum(q * off).cast("double") / F.nullif(F.sum(q).cast("double"), F.lit(0))).alias("mean_discount"))
+    whole = table(spark, d, "lineitem").select("l_partkey", F.col("l_quantity").cast("long").cast("double").alias("q"), F.round(F.col("l_discount") * 100).alias("off"))
+    return whole.groupBy("l_partkey").agg(weighted_mean("off", "q").alias("mean_discount"))
 
 
 # ---- latest rows, ordered strings, overview
@@ -194,10 +194,14 @@ def genre_string_agg(spark, d):
   select p_partkey app_id, p_name "name", p_type "type", genres, final_price, price_collected_at from part
   left join ga on ga.app_id = p_partkey left join lp on lp.app_id = p_partkey""")
 def game_overview(spark, d):
-    games = table(spark, d, "part").select(F.col("p_partkey").alias("app_id"), F.col("p_name").alias("name"), F.col("p_type").alias("type"))
-    marks = table(spark, d, "lineitem").select(F.col("l_partkey").alias("app_id"), F.concat("l_returnflag", "l_linestatus").alias("m")).distinct()
-    latest = latest_price(spark, d).select("app_id", "final_price", "price_collected_at")
-    return games.join(ordered_string_agg(marks, ["app_id"], "m", "genres"), "app_id", "left").join(latest, "app_id", "left")
+    rest = "is_free developers publishers release_date platforms_windows platforms_mac platforms_linux total_recommendations".split()
+    games = table(spark, d, "part").select(F.col("p_partkey").alias("app_id"), F.col("p_name").alias("name"), F.col("p_type").alias("type"), *[F.lit(None).cast("string").alias(c) for c in rest])
+    marks = table(spark, d, "lineitem").select(F.col("l_partkey").alias("app_id"), F.concat("l_returnflag", "l_linestatus").alias("genre_name")).distinct()
+    pairs, genres = marks.select("app_id", F.col("genre_name").alias("genre_id")), marks.select(F.col("genre_name").alias("genre_id"), "genre_name").distinct()
+    # One price for each day: the mart takes the latest day.
+    daily = latest_per_key(table(spark, d, "lineitem").withColumn("collected_at", F.to_date("l_shipdate")), ["l_partkey", "collected_at"], PRICE_ORDER)
+    prices = daily.select(F.col("l_partkey").alias("app_id"), "collected_at", F.col("l_extendedprice").alias("final_price"), F.lit(None).cast("int").alias("initial_price"), F.lit(None).cast("int").alias("discount_percent"))
+    return marts.mart_game_overview(games, prices, pairs, genres).select("app_id", "name", "type", "genres", "final_price", "price_collected_at")
 
 
 @query("""select o_orderkey, o_orderdate from orders order by o_orderdate desc, o_orderkey limit 100""")
@@ -240,39 +244,40 @@ def update_by_key(spark, d):
 
 # ---- upserts
 
-SLICES_SQL = """t as (select user_id k, cast(count(*) as bigint) n, max(value) v from events where event_type in ('click', 'view') and user_id < 100 group by 1),
-  u as (select user_id k, cast(count(*) as bigint) n, max(case when event_type = 'error' then value end) v from events where event_type in ('error', 'purchase') and user_id >= 50 group by 1)"""
+# Target and source are all users by day; a day without events of either kind gives known, new and untouched keys.
+SLICES_SQL = """t as (select user_id k, cast(ts as date) d, cast(count(*) as bigint) n, max(value) v from events where event_type in ('click', 'view') group by 1, 2),
+  u as (select user_id k, cast(ts as date) d, cast(count(*) as bigint) n, max(case when event_type = 'error' then value end) v from events where event_type in ('error', 'purchase') group by 1, 2)"""
 
 
 def _slices(spark, d):
-    e = table(spark, d, "events")
-    t = e.where("event_type in ('click', 'view') and user_id < 100").groupBy(F.col("user_id").alias("k")).agg(F.count("*").alias("n"), F.max("value").alias("v"))
-    u = e.where("event_type in ('error', 'purchase') and user_id >= 50").groupBy(F.col("user_id").alias("k")).agg(F.count("*").alias("n"), F.max(F.when(F.col("event_type") == "error", F.col("value"))).alias("v"))
+    e = table(spark, d, "events").select(F.col("user_id").alias("k"), F.to_date("ts").alias("d"), "event_type", "value")
+    t = e.where("event_type in ('click', 'view')").groupBy("k", "d").agg(F.count("*").alias("n"), F.max("value").alias("v"))
+    u = e.where("event_type in ('error', 'purchase')").groupBy("k", "d").agg(F.count("*").alias("n"), F.max(F.when(F.col("event_type") == "error", F.col("value"))).alias("v"))
     return t, u
 
 
-@query(f"""with {SLICES_SQL} select coalesce(t.k, u.k) k, case when u.k is not null then u.n else t.n end n,
-    case when u.k is not null then u.v else t.v end v from t full join u on t.k = u.k""")
+@query(f"""with {SLICES_SQL} select coalesce(t.k, u.k) k, coalesce(t.d, u.d) d, case when u.k is not null then u.n else t.n end n,
+    case when u.k is not null then u.v else t.v end v from t full join u on t.k = u.k and t.d = u.d""")
 def upsert_replace(spark, d):
     t, u = _slices(spark, d)
-    return upsert(t, u, ["k"], ["n", "v"])
+    return upsert(t, u, ["k", "d"], ["n", "v"])
 
 
-@query(f"""with {SLICES_SQL} select coalesce(t.k, u.k) k, case when t.k is not null then t.n else u.n end n,
-    case when u.k is not null then u.v else t.v end v from t full join u on t.k = u.k""")
+@query(f"""with {SLICES_SQL} select coalesce(t.k, u.k) k, coalesce(t.d, u.d) d, case when t.k is not null then t.n else u.n end n,
+    case when u.k is not null then u.v else t.v end v from t full join u on t.k = u.k and t.d = u.d""")
 def upsert_partial(spark, d):
     t, u = _slices(spark, d)
-    return upsert(t, u, ["k"], ["v"])
+    return upsert(t, u, ["k", "d"], ["v"])
 
 
-@query(f"""with {SLICES_SQL} select * from t union all select * from u where k not in (select k from t)""")
+@query(f"""with {SLICES_SQL} select * from t union all select * from u where not exists (select 1 from t where t.k = u.k and t.d = u.d)""")
 def upsert_insert_only(spark, d):
-    return insert_only(*_slices(spark, d), ["k"])
+    return insert_only(*_slices(spark, d), ["k", "d"])
 
 
-@query(f"""with {SLICES_SQL} select * from t where k not in (select k from u) union all select * from u""")
+@query(f"""with {SLICES_SQL} select * from t where not exists (select 1 from u where t.k = u.k and t.d = u.d) union all select * from u""")
 def replace_whole_groups(spark, d):
-    return replace_groups(*_slices(spark, d), ["k"])
+    return replace_groups(*_slices(spark, d), ["k", "d"])
 
 
 # ---- set operations
@@ -337,9 +342,9 @@ def array_first(spark, d):
     return table(spark, d, "embeddings").select("vec_id", first_or_null(F.col("embedding")).alias("first_value"))
 
 
-@query("""select vec_id, unnest(embedding[1:3]) item from embeddings""")
+@query("""select vec_id, unnest(range(0, len(embedding))) pos, unnest(embedding) item from embeddings""")
 def explode_items(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.explode(F.slice("embedding", 1, 3)).alias("item"))
+    return table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "item")).withColumn("pos", F.col("pos").cast("long"))
 
 
 @query("""select vec_id, len(list_filter(embedding, lambda x: x > 0)) n_positive from embeddings""")
