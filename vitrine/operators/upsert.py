@@ -57,17 +57,38 @@ def replace_groups(target: DataFrame, source: DataFrame, group: Sequence[str]) -
     return kept.unionByName(source.select(*target.columns))
 
 
+def _files(spark, path: str):
+    jvm = spark._jvm
+    now, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__next", f"{path}__prev"))
+    return now.getFileSystem(spark._jsc.hadoopConfiguration()), now, new, old
+
+
+def recover(spark, path: str) -> None:
+    """Ends a swap that was cut off: a missing table is the new one if that was written whole, else the one before."""
+    fs, now, new, old = _files(spark, path)
+    if fs.exists(now):
+        return
+    done = spark._jvm.org.apache.hadoop.fs.Path(new, "_SUCCESS")
+    for whole in [new] * fs.exists(done) + [old] * fs.exists(old):
+        if not fs.rename(whole, now):
+            raise OSError(f"cannot restore {path}")
+        return
+
+
 def swap_in(df: DataFrame, path: str) -> None:
-    """Write ``df`` beside ``path``, then rename: ``df`` may read ``path`` itself, and readers never see half a table."""
+    """Write ``df`` beside ``path``, then rename: ``df`` may read ``path`` itself, and readers never see half a table.
+
+    The table before is deleted only when the new one stands, and :func:`recover` (called here, and by readers) ends a swap that was cut off at any
+    step. One writer at a time. On stores without renames (object stores) each rename is a copy of the table.
+    """
     spark = df.sparkSession
+    recover(spark, path)
     df.write.mode("overwrite").parquet(f"{path}__next")
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    old, new, now = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}__prev", f"{path}__next", path))
-    fs = now.getFileSystem(conf)
-    fs.delete(old, True)
-    if fs.exists(now) and not fs.rename(now, old):
-        raise OSError(f"cannot move {path} aside")
+    fs, now, new, old = _files(spark, path)
+    if fs.exists(now):
+        fs.delete(old, True)
+        if not fs.rename(now, old):
+            raise OSError(f"cannot move {path} aside")
     if not fs.rename(new, now):
         raise OSError(f"cannot move the new table to {path}")
     fs.delete(old, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import english_tokens
@@ -13,19 +13,20 @@ def token_frequencies(reviews: DataFrame, tokens: Column, group: list[str], top_
     """Top ``top_n`` tokens of each group by frequency (ties: token ascending).
 
     ``frequency`` counts all places, ``review_appearances`` reviews. With ``ts``, the earliest and latest time of
-    the group's reviews with any token stands on each row. Both counts come from one explode per review and
-    combine before the single shuffle.
+    the group's reviews with any token stands on each row. Tokens are computed once and sorted within a review, so a token's first place
+    counts its review, and both counts come from one row per place, combined before the single shuffle.
     """
-    with_tokens = reviews.withColumn("__t", tokens).where(F.size("__t") > 0)
-    places = F.transform("__t", lambda t: F.struct(t.alias("token"), F.lit(1).alias("f"), F.lit(0).alias("a")))
-    once = F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("token"), F.lit(0).alias("f"), F.lit(1).alias("a")))
-    exploded = with_tokens.select(*group, F.explode(F.concat(places, once)).alias("x")).select(*group, "x.*")
-    counted = exploded.groupBy(*group, "token").agg(F.sum("f").alias("frequency"), F.sum("a").alias("review_appearances"))
-    top = top_n_per_group(counted, group, [F.desc("frequency"), F.asc("token")], top_n)
+    times = [ts] if ts else []
+    sorted_tokens = reviews.select(*dict.fromkeys([*group, *times]), F.array_sort(tokens).alias("__t"))
+    marked = F.transform("__t", lambda t, i: F.struct(t.alias("token"), F.when(F.get(F.col("__t"), i - 1) == t, 0).otherwise(1).alias("a")))
+    exploded = sorted_tokens.select(*dict.fromkeys([*group, *times]), F.explode(marked).alias("x")).select(*dict.fromkeys([*group, *times]), "x.*")
+    counted = exploded.groupBy(*group, "token").agg(F.count("*").alias("frequency"), F.sum("a").alias("review_appearances"), *[f(ts).alias(n) for f, n in ((F.min, "__first"), (F.max, "__last")) if ts])
     if ts is None:
-        return top
-    span = with_tokens.groupBy(*group).agg(F.min(ts).alias("earliest_review_at"), F.max(ts).alias("latest_review_at"))
-    return top.join(span, group, "left")
+        return top_n_per_group(counted, group, [F.desc("frequency"), F.asc("token")], top_n)
+    # The group's span is that of all its tokens.
+    whole = Window.partitionBy(*group)
+    spanned = counted.withColumns({"earliest_review_at": F.min("__first").over(whole), "latest_review_at": F.max("__last").over(whole)}).drop("__first", "__last")
+    return top_n_per_group(spanned, group, [F.desc("frequency"), F.asc("token")], top_n)
 
 
 def english_review_tokens(lake: DataFrame, top_n: int = 1000, now: Column | None = None) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
 from ..functions import noun_tokens
-from ..operators import active_semi_join, replace_groups
-from ..sources import latest_file_only, read_bronze_json, read_bronze_parquet, replace_table, write_review_lake
-from . import gold, marts, silver, staging
+from ..operators import active_semi_join, latest_per_key, recover, replace_groups
+from ..sources import StoreApi, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table, write_review_lake
+from . import bronze, gold, marts, silver, staging
 
 TABLES = {
     "tracked_games": S.TRACKED_GAMES, "dim_games": S.DIM_GAMES, "dim_genres": S.DIM_GENRES, "dim_game_genres": S.DIM_GAME_GENRES,
@@ -45,6 +45,8 @@ class Storefront:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
+        """Whether the table stands, after ending a swap that was cut off."""
+        recover(self.spark, self.path(table))
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -74,7 +76,8 @@ class Storefront:
     def load_reviews(self, run_date: date) -> None:
         feed = silver.require_rows(read_bronze_parquet(self.spark, f"{self.bronze}/reviews/{run_date:%Y%m%d}", S.REVIEWS), "reviews")
         dated, undated = silver.split_undated(silver.clean_reviews(feed.drop("_file")))
-        undated.write.mode("append").parquet(self.path("reviews_quarantine"))
+        quarantine = self.spark.read.parquet(self.path("reviews_quarantine")).unionByName(undated, allowMissingColumns=True) if self.exists("reviews_quarantine") else undated
+        self.save("reviews_quarantine", latest_per_key(quarantine, ["appid", "recommendationid"], ["timestamp_updated", "review"]))
         lake = self.spark.read.parquet(self.path("reviews")).drop("year", "month") if self.exists("reviews") else None
         merged = silver.merge_reviews(lake, dated)
         # The lake is read here, so the merged rows go beside it first.
@@ -120,10 +123,27 @@ class Storefront:
             df.write.mode("overwrite").parquet(self.path(name))
         return {name: self.spark.read.parquet(self.path(name)) for name in out}
 
+    def crawl(self, run_date: date, api: StoreApi, clock: str = "0000", **options: str) -> Report:
+        """Fetches all feeds into bronze: prices first, since they name the games to follow; review cursors go back to the control table."""
+        s, b = self.spark, self.bronze
+
+        def reviews() -> None:
+            self.save("tracked_games", bronze.crawl_reviews(s, self.table("tracked_games"), b, run_date, **options))
+
+        return self._steps([
+            ("prices", lambda: (bronze.crawl_prices(s, api, b, run_date, clock), self.load_prices(run_date))),
+            ("players", lambda: bronze.crawl_players(s, self.table("tracked_games"), b, run_date, clock, **options)),
+            ("details", lambda: bronze.crawl_details(s, self.table("tracked_games"), b, run_date, **options)),
+            ("reviews", reviews),
+        ])
+
     def run(self, run_date: date) -> Report:
         """All steps; a failed feed is reported and does not stop the others, a run in which all fail raises."""
+        return self._steps([("prices", lambda: self.load_prices(run_date)), ("details", lambda: self.load_details(run_date)), ("players", lambda: self.load_players(run_date)), ("reviews", lambda: self.load_reviews(run_date)), ("review facts", self.load_review_facts), ("tokens", self.load_tokens), ("marts", self.build_marts)])
+
+    @staticmethod
+    def _steps(steps: list[tuple[str, Callable]]) -> Report:
         report = Report()
-        steps = [("prices", lambda: self.load_prices(run_date)), ("details", lambda: self.load_details(run_date)), ("players", lambda: self.load_players(run_date)), ("reviews", lambda: self.load_reviews(run_date)), ("review facts", self.load_review_facts), ("tokens", self.load_tokens), ("marts", self.build_marts)]
         for name, step in steps:
             try:
                 step()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_timestamp, first_or_null, iso_timestamp, joined_names, normalize_language, release_date, safe_int
 from ..operators import insert_only, latest_per_key, upsert
-from ..schemas import AUTHOR, RAW_DETAILS
+from ..schemas import AUTHOR, RAW_DETAILS, REVIEWS
 
 CURRENCY = "KRW"
 DIM_UPDATES = (
@@ -76,8 +76,9 @@ def merge_game_genres(dim_game_genres: DataFrame, details: DataFrame) -> DataFra
 
 
 def price_rows(discounts: DataFrame, run_date: date) -> DataFrame:
-    """One row per store item of the snapshot; amounts stay raw integers, only the first active discount counts."""
-    items = discounts.select(F.explode("response.store_items").alias("i")).where("i.appid is not null")
+    """One row per store item of the snapshot, with its file and place; amounts stay raw integers, only the first active discount counts."""
+    file = F.col("_file") if "_file" in discounts.columns else F.lit("")
+    items = discounts.select(file.alias("_order"), F.posexplode("response.store_items").alias("_place", "i")).where("i.appid is not null")
     best = F.col("i.best_purchase_option")
     end = first_or_null(best["active_discounts"])["discount_end_date"]
     return items.select(
@@ -89,12 +90,14 @@ def price_rows(discounts: DataFrame, run_date: date) -> DataFrame:
         F.coalesce("i.is_free", F.lit(False)).alias("is_free"),
         F.when(end != 0, epoch_to_timestamp(end)).alias("discount_end_at"),
         F.lit(run_date).cast("date").alias("collected_at"),
-    )
+        "_order", "_place",
+    )
 
 
 def merge_prices(fact: DataFrame, rows: DataFrame) -> DataFrame:
     cols = ["currency", "initial_price", "final_price", "discount_percent", "is_free", "discount_end_at"]
-    return upsert(fact, rows, ["app_id", "collected_at"], cols, order=["final_price", "discount_end_at"])
+    order = [c for c in ("_order", "_place") if c in rows.columns] or ["final_price", "discount_end_at"]  # the last place wins
+    return upsert(fact, rows, ["app_id", "collected_at"], cols, order=order)
 
 
 def discounted_ids(discounts: DataFrame) -> DataFrame:
@@ -125,15 +128,27 @@ def merge_cursors(tracked: DataFrame, cursors: DataFrame, now: Column | None = N
 
 def player_rows(counts: DataFrame) -> DataFrame:
     order = "_file" if "_file" in counts.columns else "collected_at"
-    return counts.where("appid is not null and player_count is not null").select(F.col("appid").alias("app_id"), F.col("player_count").alias("concurrent_in_game"), iso_timestamp(F.col("collected_at")).alias("collected_at"), F.col(order).alias("_order"))
+    place = F.monotonically_increasing_id()  # a file of several lines is read by one task, in order
+    return counts.select("*", place.alias("_at")).where("appid is not null and player_count is not null").select(F.col("appid").alias("app_id"), F.col("player_count").alias("concurrent_in_game"), iso_timestamp(F.col("collected_at")).alias("collected_at"), F.col(order).alias("_order"), F.col("_at").alias("_place"))
 
 
 def merge_players(fact: DataFrame, counts: DataFrame) -> DataFrame:
-    return upsert(fact, player_rows(counts), ["app_id", "collected_at"], ["concurrent_in_game"], order=["_order", "concurrent_in_game"])
+    """Of several counts of one game and time the last by file and place wins."""
+    return upsert(fact, player_rows(counts), ["app_id", "collected_at"], ["concurrent_in_game"], order=["_order", "_place"])
 
 
 # ---- reviews
 
+#: What a review's JSON holds, without the id of the game.
+RAW_REVIEW = REVIEWS.rsplit(", appid INT", 1)[0]
+
+
+def parse_reviews(feed: DataFrame) -> DataFrame:
+    """``appid, review`` (JSON) of the crawl to rows of the review schema; answers that are no JSON objects go."""
+    parsed = feed.select("appid", F.from_json("review", RAW_REVIEW).alias("r")).where("r.recommendationid is not null")
+    return parsed.select("r.*", "appid")
+
+
 AUTHOR_FIELDS = [f.split(":")[0].strip() for f in AUTHOR[len("STRUCT<") : -1].split(",")]
 
 

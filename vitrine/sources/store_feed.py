@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -25,14 +26,35 @@ class StoreError(RuntimeError):
     """A request failed; carries the status and the start of the answer."""
 
 
-def http_transport(base_url: str) -> Transport:
+#: Fixed values of the wire format: host (API or store) and path of each feed, and parameters that every request of it has.
+ENDPOINTS = {
+    "app_list": ("api", "IStoreService/GetAppList/v1/", {}),
+    "players": ("api", "ISteamUserStats/GetNumberOfCurrentPlayers/v1/", {}),
+    "details": ("store", "api/appdetails", {}),
+    "reviews": ("store", "appreviews/{appid}", {"json": 1, "purchase_type": "all"}),
+    "query": ("api", "IStoreQueryService/Query/v1/", {}),
+}
+
+
+def request_url(hosts: dict[str, str], endpoint: str, params: dict) -> str:
+    """Address of a request; what the path names is no parameter."""
+    host, path, always = ENDPOINTS[endpoint]
+    named = {k for k in params if f"{{{k}}}" in path}
+    rest = {k: str(v).lower() if isinstance(v, bool) else v for k, v in {**always, **params}.items() if k not in named}
+    return f"{hosts[host].rstrip('/')}/{path.format(**{k: params[k] for k in named})}?{urllib.parse.urlencode(rest)}"
+
+
+def http_transport(api_url: str, store_url: str) -> Transport:
+    """Requests to the two hosts; whatever fails (status, connection, time, no JSON) is a :class:`StoreError`."""
+
     def get(endpoint: str, params: dict) -> dict:
-        url = f"{base_url}/{endpoint}?{urllib.parse.urlencode(params)}"
         try:
-            with urllib.request.urlopen(url, timeout=TIMEOUT_S) as answer:  # noqa: S310
+            with urllib.request.urlopen(request_url({"api": api_url, "store": store_url}, endpoint, params), timeout=TIMEOUT_S) as answer:  # noqa: S310
                 return json.load(answer)
         except urllib.error.HTTPError as e:
             raise StoreError(f"{endpoint}: status {e.code}: {e.read(500)!r}") from e
+        except (OSError, ValueError) as e:
+            raise StoreError(f"{endpoint}: {type(e).__name__}: {e}"[:500]) from e
 
     return get
 
@@ -104,7 +126,7 @@ class StoreApi:
             seen.add(cursor)
             self._wait(WAIT_S)
 
-    def reviews(self, appid: int, cursors: dict[str, str], languages: list[str], limit: int = 100, order: str = "recent") -> tuple[list[dict], dict[str, str]]:
+    def reviews(self, appid: int, cursors: dict[str, str], languages: list[str], limit: int | None = None, order: str = "recent") -> tuple[list[dict], dict[str, str]]:
         """Reviews of several languages, each id once, and the cursors to go on from."""
         out, ids, after = [], set(), dict(cursors)
         for language in languages:
@@ -116,26 +138,28 @@ class StoreApi:
                         out.append(r)
         return out, after
 
-    def query(self, start: int = 0, count: int = 400, sort: int = 12, filters: dict | None = None, context: dict | None = None, data_request: dict | None = None, name: str = "") -> dict:
+    def query(self, start: int = 0, count: int = 1000, sort: int = 0, filters: dict | None = None, context: dict | None = None, data_request: dict | None = None, name: str = "") -> dict:
         """Store query; the nested request travels as one JSON parameter."""
         request = {"query_name": name, "query": {"start": start, "count": count, "sort": sort, "filters": filters or {}}, "context": context or {}, "data_request": data_request or {}}
         return self._get("query", {"key": self._key, "input_json": json.dumps(request, sort_keys=True)})
 
-    def discounted(self, count: int = 400, min_discount: int = 1) -> dict:
-        """The standing query: released, paid games on discount; the filters run at the server."""
+    def discounted(self, count: int = 400, min_discount: int = 1, language: str = "korean", country: str = "KR") -> dict:
+        """The standing query: released, paid games on discount, best sellers first, with names and prices; the filters run at the server."""
         filters = {"released_only": True, "type_filters": {"include_games": True}, "price_filters": {"exclude_free_items": True, "min_discount_percent": min_discount}}
-        return self.query(0, count, 12, filters)
+        wanted = {"include_basic_info": True, "include_all_purchase_options": True}
+        return self.query(0, count, 12, filters, {"language": language, "country_code": country}, wanted)
 
 
 FEEDS = {
     "players": "appid INT, player_count INT, collected_at STRING",
     "details": "appid INT, detail STRING, collected_at STRING",
-    "reviews": "appid INT, language STRING, review STRING",
+    # The cursor behind a review's page, and the page's number.
+    "reviews": "appid INT, language STRING, review STRING, page INT, cursor STRING",
 }
 
 
 def _api(options: dict) -> StoreApi:
-    transport = replay_transport(options["fixtures"]) if options.get("fixtures") else http_transport(options["base_url"])
+    transport = replay_transport(options["fixtures"]) if options.get("fixtures") else http_transport(options["api_url"], options["store_url"])
     wait = (lambda s: None) if options.get("fixtures") else time.sleep
     return StoreApi(transport, wait, options.get("key", ""))
 
@@ -160,7 +184,11 @@ class StoreFeedReader(DataSourceReader):
     def read(self, partition):
         api, feed, failed = _api(self.options), self.options["feed"], []
         now = self.options.get("now") or datetime.now(timezone.utc).isoformat()
-        for appid in partition.app_ids:
+        cursors = json.loads(self.options.get("cursors", "{}"))
+        pause = (lambda s: None) if self.options.get("fixtures") else time.sleep
+        for i, appid in enumerate(partition.app_ids):
+            if i:
+                pause(DETAIL_WAIT_S if feed == "details" else WAIT_S)
             try:
                 if feed == "players":
                     yield appid, api.current_players(appid), now
@@ -169,9 +197,10 @@ class StoreFeedReader(DataSourceReader):
                     yield appid, None if detail is None else json.dumps(detail), now
                 else:
                     for language in self.options.get("languages", "korean,english").split(","):
-                        for rows, _ in api.review_pages(appid, language, limit=int(self.options["limit"]) if "limit" in self.options else None):
+                        limit = int(self.options["limit"]) if "limit" in self.options else None
+                        for page, (rows, cursor) in enumerate(api.review_pages(appid, language, cursors.get(f"{appid}/{language}", "*"), limit), 1):
                             for r in rows:
-                                yield appid, language, json.dumps(r)
+                                yield appid, language, json.dumps(r), page, cursor
             except StoreError as e:
                 failed.append(f"{appid}: {e}")
         if failed and len(failed) == len(partition.app_ids):
@@ -179,8 +208,8 @@ class StoreFeedReader(DataSourceReader):
 
 
 class ReviewStream(SimpleDataSourceStreamReader):
-    """Offset: cursor by ``appid/language``. One ``read`` takes up to ``pages_per_batch`` pages of each feed, so
-    ``availableNow`` drains a feed that fits, and memory stays bounded. At least once: readers dedupe by id."""
+    """Offset: cursor and number of pages by ``appid/language``, so a last page that answers with its own start cursor counts as read. One
+    ``read`` takes up to ``pages_per_batch`` pages of each feed, so ``availableNow`` drains a feed that fits, and memory stays bounded. At least once: readers dedupe by id."""
 
     def __init__(self, options: dict):
         self.options = options
@@ -191,28 +220,38 @@ class ReviewStream(SimpleDataSourceStreamReader):
                 yield int(appid), language
 
     def initialOffset(self):
-        return {f"{a}/{lang}": "*" for a, lang in self._targets()}
+        return {f"{a}/{lang}": ["*", 0] for a, lang in self._targets()}
+
+    def _pages(self, at: list, appid: int, language: str):
+        """(rows, offset behind them) of each page behind an offset; a cursor that stays where it is ends the feed."""
+        cursor, page = at[:2]
+        if len(at) > 2:
+            return
+        for rows, after in _api(self.options).review_pages(appid, language, cursor):
+            page += 1
+            at = [after, page, "end"] if after == cursor else [after, page]
+            cursor = after
+            yield [(appid, language, json.dumps(r), page, after) for r in rows], at
 
     def read(self, start):
-        api, out, after = _api(self.options), [], dict(start)
+        out, after = [], dict(start)
         pages = int(self.options.get("pages_per_batch", "50"))
         for appid, language in self._targets():
-            for i, (rows, cursor) in enumerate(api.review_pages(appid, language, start[f"{appid}/{language}"])):
-                out += [(appid, language, json.dumps(r)) for r in rows]
-                after[f"{appid}/{language}"] = cursor
+            for i, (rows, at) in enumerate(self._pages(start[f"{appid}/{language}"], appid, language)):
+                out += rows
+                after[f"{appid}/{language}"] = at
                 if i + 1 >= pages:
                     break
         return iter(out), after
 
     def readBetweenOffsets(self, start, end):
-        api = _api(self.options)
         for appid, language in self._targets():
-            stop = end[f"{appid}/{language}"]
-            if start[f"{appid}/{language}"] == stop:
+            first, stop = start[f"{appid}/{language}"], end[f"{appid}/{language}"]
+            if first[1] >= stop[1]:
                 continue
-            for rows, cursor in api.review_pages(appid, language, start[f"{appid}/{language}"]):
-                yield from ((appid, language, json.dumps(r)) for r in rows)
-                if cursor == stop:
+            for rows, at in self._pages(first, appid, language):
+                yield from rows
+                if at[1] >= stop[1]:
                     break
 
 

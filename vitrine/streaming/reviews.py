@@ -33,4 +33,4 @@ def last_cursors(checkpoint: str) -> dict[str, str]:
     files = [f for f in store.get_file_info(fs.FileSelector(f"{root}/offsets")) if f.base_name.isdigit()]
     newest = max(files, key=lambda f: int(f.base_name))
     with store.open_input_stream(newest.path) as f:
-        return json.loads(f.read().decode().splitlines()[-1])
+        return {target: at[0] for target, at in json.loads(f.read().decode().splitlines()[-1]).items()}
