@@ -160,15 +160,25 @@ def hit_words(result: str = "overlap") -> Column:
     return F.aggregate(F.col(result)["spans"], F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["first"]).cast("long"))
 
 
+def _free(docs: DataFrame) -> str:
+    """A column name that ``docs`` doesn't have."""
+    name = "overlap"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents without any benchmark window, unchanged."""
-    marked = find_overlaps(docs, benchmark, text, result="__overlap", **options)
-    return marked.where(F.size("__overlap.spans") == 0).select(*docs.columns)
+    mark = _free(docs)
+    marked = find_overlaps(docs, benchmark, text, result=mark, **options)
+    return marked.where(F.size(F.col(mark)["spans"]) == 0).select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", mark: str = "\n\n", **options) -> DataFrame:
     """All documents; hit words, with what stands between them, give way to ``mark``."""
-    marked = find_overlaps(docs, benchmark, text, result="__overlap", **options)
+    found_in = _free(docs)
+    marked = find_overlaps(docs, benchmark, text, result=found_in, **options)
 
     def make():
         import re
@@ -187,4 +197,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", mark
 
         return f
 
-    return scan(marked, [text, "__overlap"], f"`{text}` string", make, [c for c in docs.columns if c != text]).select(*docs.columns)
+    return scan(marked, [text, found_in], f"`{text}` string", make, [c for c in docs.columns if c != text]).select(*docs.columns)

@@ -10,7 +10,8 @@ texts may be rare in the sample, so each of its texts also gives a short window
 The model is one small matrix, broadcast; scoring is one pass without a shuffle, in blocks of ``BLOCK`` texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; without any labelled text all are ``und``;
-rows with a null language or id train nothing (but are predicted); repeated rows are predicted alike.
+rows with a null language or id train nothing (but are predicted); repeated rows are predicted alike, and train once; of equal cosines the language that sorts
+first wins; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -111,10 +112,11 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang",
     as sparse counts. The first pass reads ids and languages only."""
     labelled = docs.where(trains & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"))
     # By the counts, hashes under a bound that about four times the sample lies below: few rows of a language meet in a task, at any size.
-    counts = cut(labelled.groupBy("__lang").agg(F.count("*").alias("n")))
+    # Ids are counted, not rows: few, often repeated ids still give a sample.
+    counts = cut(labelled.groupBy("__lang").agg(F.approx_count_distinct("__id").alias("n")))
     side = F.broadcast(counts) if counts.count() <= MOST_LANGUAGES else counts
     draw = (F.shiftrightunsigned(F.xxhash64("__id"), 11).cast("double") + 0.5) / float(1 << 53)
-    low = labelled.withColumn("draw", draw).join(side, "__lang").where(F.col("draw") * F.col("n") < 4 * per_language)
+    low = labelled.withColumn("draw", draw).join(side, "__lang").where(F.col("draw") * F.col("n") < 4 * per_language).select("__lang", "draw", "__id").distinct()
     order = Window.partitionBy("__lang").orderBy("draw", "__id")
     ids = low.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= per_language).select("__id").distinct()
 
@@ -140,25 +142,34 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang",
 
         return f
 
-    # ids: at most per_language rows of each language.
-    chosen = docs.where(trains & F.col(lang).isNotNull()).join(F.broadcast(ids), F.col(doc_id) == F.col("__id"), "left_semi").select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = [r for r in scan(chosen, ["text"], "grams binary, windows array<binary>", make, ["lang"]).collect() if len(r["grams"])]
+    # ids: at most per_language rows of each language; a label set beyond the bound is joined by a shuffle.
+    few = F.broadcast(ids) if counts.count() <= MOST_LANGUAGES else ids
+    own = docs.where(trains & F.col(lang).isNotNull()).select(F.col(doc_id).alias("__own"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    chosen = own.join(few, F.col("__own") == F.col("__id"), "left_semi")
+    packed_rows = scan(chosen, ["text"], "grams binary, windows array<binary>", make, ["__own", "lang"])
+    # One row for each id and language, whatever repeats.
+    once = packed_rows.groupBy("__own", "lang").agg(F.min(F.struct("grams", "windows")).alias("x")).select("lang", "x.grams", "x.windows")
+    rows = [r for r in once.collect() if len(r["grams"])]
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
-    counts = unpacked([r["grams"] for r in rows])
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
+    # Dense counts stand in memory for one language at a time; the sample is held as it came, sparse.
     languages = sorted({r["lang"] for r in rows})
-    labels = np.array([languages.index(r["lang"]) for r in rows])
+    of = [[r for r in rows if r["lang"] == x] for x in languages]
+    seen = sum((unpacked([r["grams"] for r in some]) > 0).sum(0) for some in of)
+    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
     model = Centroids(languages, idf, np.empty((0, DIM)), np.empty(0, int), np.zeros(21))
-    v = model.vectors(counts)
-    found = [_kmeans(v[labels == i], clusters) for i in range(len(languages))]
+    found = [_kmeans(model.vectors(unpacked([r["grams"] for r in some])), clusters) for some in of]
     model.centres = np.vstack(found).astype(np.float32)
     model.owner = np.concatenate([np.full(len(c), i) for i, c in enumerate(found)])
-    top, bands = (v @ model.centres.T).max(1), band(counts.sum(1))
+    reach = []
+    for some in of:
+        dense = unpacked([r["grams"] for r in some])
+        reach.append(((model.vectors(dense) @ model.centres.T).max(1), band(dense.sum(1))))
+    top, bands = (np.concatenate(x) for x in zip(*reach))
     lowest = {b: float(top[bands == b].min()) for b in range(21) if (bands == b).sum() >= ENOUGH}
     reached: dict[tuple[int, int], list[float]] = {}
-    for i, r in zip(labels, rows):
+    for i, r in ((i, r) for i, some in enumerate(of) for r in some):
         if r["windows"]:
             short = unpacked(r["windows"])
             for b, x in zip(band(short.sum(1)).tolist(), (model.vectors(short) @ model.centres.T).max(1).tolist()):

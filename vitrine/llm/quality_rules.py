@@ -7,7 +7,8 @@ rule grows. A rule that isn't precise enough on the pruning rows ends the list.
 statistics' columns, readable and without Python.
 
 Defined cases: a null text has no words; documents without labels train nothing; without labels the list is empty and keeps all that
-pass the base rules; labels of unknown documents are ignored; of several labels of one document each counts.
+pass the base rules; labels of unknown documents are ignored; of several labels of one document each counts once; ids may be of any type; repeated
+documents don't enlarge the sample; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -188,10 +189,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, sup
 
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = 20_000) -> DataFrame:
-    """Statistics and quality of at most ``sample`` labelled documents; only their ids are broadcast."""
-    chosen = labels.where(F.col("quality").isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), "quality").orderBy(F.xxhash64("__id"), "__id", "quality").limit(sample)
-    own = docs.select(F.col(doc_id), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
-    return with_statistics(own, "text", [doc_id, "quality"])
+    """Statistics and quality of at most ``sample`` labelled documents, one row for each id and label (of several texts of one id the least statistics), in
+    ``mark`` a hash of the id; only their ids are broadcast."""
+    pairs = labels.where(F.col("quality").isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col("quality").alias("__quality")).distinct()
+    chosen = pairs.orderBy(F.xxhash64("__id"), "__id", "__quality").limit(sample)
+    own = docs.select(F.col(doc_id).alias("own"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), F.col("own") == F.col("__id"))
+    features = [*BASE, *RATES]
+    one = with_statistics(own, "text", ["__id", "__quality"]).groupBy("__id", "__quality").agg(F.min(F.struct(*features)).alias("s"))
+    return one.select(F.xxhash64("__id").alias("mark"), F.col("__quality").alias("quality"), "s.*")
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = 20_000, **options) -> list[Rule]:
@@ -199,9 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if rows.empty:
         return []
     features = [*BASE, *RATES]
-    rows = rows.sort_values([doc_id, "quality", *features], kind="stable")
-    # the order of ids must not decide which rows prune
-    rows = rows.iloc[np.argsort((rows[doc_id].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")]
+    # By a hash: the order of ids must not decide which rows prune. Ties of a threshold's gain go to the feature named first, and its lowest value.
+    rows = rows.sort_values(["mark", "quality", *features], kind="stable")
     return learn({f: rows[f].to_numpy(float) for f in features}, rows["quality"].to_numpy() == 0, **options)
 
 

@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Rows of one group that a task expands at once.
 CHUNK = 100_000
 
@@ -85,7 +87,8 @@ def place(df: DataFrame, topology: Topology, key: str = "doc_id", text: str = "t
     narrow = df.select(F.col(key), (F.coalesce(F.octet_length(raw), F.lit(0)).cast("long") + 16).alias("size"), F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"))
     same = narrow.groupBy(key, "size", "text_crc32").agg(F.count("*").alias("copies"))
     placed = add_shard(add_shard(same, topology, key, "shard"), topology.grow(), key, "grown_shard")
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(key, "size", "text_crc32"), F.lit(buckets)).cast("int"))
+    # Written once: texts are read and draws are made one time for both the sums and the ranks.
+    placed = cut(placed.withColumn("bucket", F.pmod(F.xxhash64(key, "size", "text_crc32"), F.lit(buckets)).cast("int")))
     sums = placed.groupBy("shard", "bucket").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -1,7 +1,7 @@
 """Token counts of whole texts: encoders in Arrow functions that return lengths only.
 
 Texts over ``split_bytes`` are cut at safe boundaries, where no token can reach across; the pieces are
-encoded in batches of about ``batch_bytes``, so neither one long text nor many short ones decide a batch's memory. Nothing is
+encoded as batches of about ``batch_bytes`` of UTF-8, so neither one long text nor many short ones decide a batch's memory. Nothing is
 shuffled, and no ids leave the Python worker.
 
 A ``.json`` vocabulary of byte-level BPE (no normalizer, the usual pattern) is encoded from its own table by the faster of two
@@ -29,8 +29,9 @@ from .common import scan
 BATCH_BYTES, SPLIT_BYTES = 1 << 20, 1 << 18
 #: Fixed value: the pattern that byte-level vocabularies are cut with before merging.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A blank between two characters that are no white space always starts a new piece of that pattern.
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: A single blank, tab or line break between two characters that are no white space always starts a new piece of that pattern, and so
+#: does one of these signs behind an ASCII letter.
+_SAFE, _SAFE_SIGNS = re.compile(r"(?<=\S)[ \t\n](?=\S)|(?<=[A-Za-z])(?=[.,;:!?])"), frozenset(" \t\n.,;:!?")
 #: White space of this length is left to the other library: the pattern's look-ahead backtracks over all of it.
 _BLANKS = re.compile(r"\s{2000}")
 
@@ -43,7 +44,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 def split_text(text: str, size: int) -> Iterator[str]:
-    """The text in pieces of about ``size`` characters, cut before safe blanks only."""
+    """The text in pieces of about ``size`` characters, cut at safe places only."""
     at = 0
     while len(text) - at > size:
         m = _SAFE.search(text, at + size)
@@ -54,12 +55,16 @@ def split_text(text: str, size: int) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def balanced(pieces: Iterable[tuple[int, str]], size: int) -> Iterator[list[tuple[int, str]]]:
-    """(row, piece) pairs in batches of about ``size`` characters."""
+    """(row, piece) pairs in batches of about ``size`` bytes."""
     batch, held = [], 0
     for row, piece in pieces:
         batch.append((row, piece))
-        held += len(piece)
+        held += n_bytes(piece)
         if held >= size:
             yield batch
             batch, held = [], 0
@@ -69,7 +74,7 @@ def balanced(pieces: Iterable[tuple[int, str]], size: int) -> Iterator[list[tupl
 
 @lru_cache(maxsize=4)
 def load_counter(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
-    """(lengths of a batch of texts, whether texts may be split at safe blanks) for a vocabulary file."""
+    """(lengths of a batch of texts, whether texts may be split at safe places) for a vocabulary file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path.endswith(".model"):
         import sentencepiece
@@ -82,7 +87,7 @@ def load_counter(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [len(enc.encode_ordinary(t)) for t in texts], True
+        return lambda texts: [len(x) for x in enc.encode_ordinary_batch(texts, num_threads=1)], True
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
@@ -95,7 +100,7 @@ def load_counter(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
     byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
     plain = not j.get("normalizer") and model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
     added = {t["content"]: t["id"] for t in j.get("added_tokens", [])}
-    simple = not any(t.get(k) for t in j.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")) and not any(" " in t for t in added)
+    simple = not any(t.get(k) for t in j.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")) and not any(_SAFE_SIGNS & set(t) for t in added)
     if not (byte_level and plain and simple):
         return by_library, False
     letters = _byte_letters()
@@ -103,7 +108,10 @@ def load_counter(path: str) -> tuple[Callable[[list[str]], list[int]], bool]:
     enc = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
     def lengths(texts: list[str]) -> list[int]:
-        return [by_library([t])[0] if _BLANKS.search(t) else len(enc.encode(t, allowed_special="all")) for t in texts]
+        wide = [bool(_BLANKS.search(t)) for t in texts]
+        fast = iter(enc.encode_batch([t for t, w in zip(texts, wide) if not w], num_threads=1, allowed_special="all"))
+        slow = iter(by_library([t for t, w in zip(texts, wide) if w]))
+        return [next(slow) if w else len(next(fast)) for w in wide]
 
     return lengths, True
 
