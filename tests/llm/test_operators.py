@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -80,6 +82,27 @@ def test_overlaps(spark, docs, most):
     assert [x for _, x in rows] == brute_overlaps([t for t, _ in rows], items)
 
 
+def test_window_index_of_many():
+    """Over a million windows, some of several items and some of equal hashes: found by word numbers, in little memory."""
+    import pickle
+
+    n = 1_100_000
+    words = np.char.add("w", np.arange(n + 9).astype(str)).tolist()
+    windows = [" ".join(words[i : i + 10]).encode() for i in range(n)]
+    items = [f"i{i % 1000}" for i in range(n)] + ["twice", None]
+    index = decontamination.WindowIndex(pa.array(items), pa.array([*windows, windows[5], windows[7]], pa.binary()))
+    assert len(pickle.dumps(index, 5)) < 100 * n
+    spans, named = index.search(index.numbers(b"x " + windows[5] + b" " + windows[900_000] + b" w14 w15"))
+    assert spans == [(1, 11), (11, 21)] and named == {"i5", "twice", "i0"}
+    assert index.search(index.numbers(b" ".join(reversed(windows[5].split())))) == ([], set())
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontamination.WindowIndex, "_hash", staticmethod(lambda ids, starts, n: np.zeros(len(starts), np.uint64)))
+    index = decontamination.WindowIndex(pa.array(["a", "b", None]), pa.array([b"p q", b"q p", b"q q"], pa.binary()))
+    assert index.search(index.numbers(b"q p q q z p p")) == ([(0, 2), (1, 3), (2, 4)], {"a", "b"})
+
+
 def test_removal(spark, docs):
     items = spark.createDataFrame([("a", "word word word word"), ("b", "lead and")], "item_id string, text string")
     assert {r["text"] for r in docs.collect()} - {r["text"] for r in decontamination.remove_documents(docs, items).collect()} == {"word " * 3000, "  lead  and   trail  "}

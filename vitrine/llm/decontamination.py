@@ -14,6 +14,7 @@ the documents named like the result column is replaced.
 
 from __future__ import annotations
 
+from array import array
 from itertools import repeat
 
 import numpy as np
@@ -34,18 +35,29 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class WindowIndex:
-    """Windows as tuples of word numbers, by length, with sorted hashes in front."""
+    """Windows as rows of word numbers, by length and sorted by a 64-bit hash; a ten-word window takes some 60 bytes."""
 
-    def __init__(self, rows: list[tuple[str | None, bytes]]):
+    def __init__(self, items: pa.Array, windows: pa.Array):
+        """Distinct (item, window) rows, as :func:`item_windows` gives them; items that are null mark words only."""
         self.words: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[str]]] = {}
-        for item, window in rows:
-            key = tuple(self.words.setdefault(w, len(self.words)) for w in window.split(b" "))
-            found = by_length.setdefault(len(key), {}).setdefault(key, set())
-            if item is not None:
-                found.add(item)
-        self.items = by_length
-        self.hashes = {n: np.unique(self._hash(np.array(list(keys), np.int64).ravel(), np.arange(len(keys)) * n, n)) for n, keys in by_length.items()}
+        names = items.dictionary_encode()
+        self.names: list[str] = names.dictionary.to_pylist()
+        owner = names.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        numbers, sizes = array("i"), array("i")
+        for w in windows:
+            ids = [self.words.setdefault(x, len(self.words)) for x in w.as_py().split(b" ")]
+            numbers.extend(ids)
+            sizes.append(len(ids))
+        flat, size = np.array(numbers, np.int32), np.array(sizes, np.int32)
+        starts = np.cumsum(size, dtype=np.int64) - size
+        #: By length: sorted hashes, word numbers and item of each row, and the most rows of one hash.
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
+        for n in np.unique(size).tolist():
+            mine = np.flatnonzero(size == n)
+            h = self._hash(flat, starts[mine], n)
+            order = np.argsort(h, kind="stable")
+            _, equal = np.unique(h, return_counts=True)
+            self.rows[n] = h[order], flat[starts[mine][order][:, None] + np.arange(n)], owner[mine][order], int(equal.max())
 
     @staticmethod
     def _hash(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -74,19 +86,22 @@ class WindowIndex:
         if not len(ids):
             return spans, items
         strange = np.concatenate(([0], np.cumsum(ids < 0)))
-        for n, hashes in self.hashes.items():
+        for n, (hashes, numbers, owner, most) in self.rows.items():
             if len(ids) < n:
                 continue
             starts = np.flatnonzero(strange[n:] == strange[:-n])
             if not len(starts):
                 continue
             h = self._hash(ids, starts, n)
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for s in starts[hashes[at] == h].tolist():
-                named = self.items[n].get(tuple(ids[s : s + n].tolist()))
-                if named is not None:
-                    spans.append((s, s + n))
-                    items |= named
+            at = np.searchsorted(hashes, h)
+            hit = np.zeros(len(starts), bool)
+            for k in range(most):  # rows of one hash: one window of several items, or windows that collide
+                row = np.minimum(at + k, len(hashes) - 1)
+                same = np.flatnonzero((hashes[row] == h) & (at + k < len(hashes)))
+                same = same[(numbers[row[same]] == ids[starts[same][:, None] + np.arange(n)]).all(1)]
+                hit[same] = True
+                items.update(self.names[i] for i in np.unique(owner[row[same]]).tolist() if i >= 0)
+            spans += [(s, s + n) for s in starts[hit].tolist()]
         return spans, items
 
 
@@ -125,8 +140,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     names = [c for c in (docs.columns if keep is None else keep) if c != result]
     out = docs
     for block in range(blocks):
-        rows = [(r["item"], bytes(r["window"])) for r in (windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)).collect()]
-        index = docs.sparkSession.sparkContext.broadcast(WindowIndex(rows))
+        rows = (windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)).toArrow().combine_chunks()
+        index = docs.sparkSession.sparkContext.broadcast(WindowIndex(*[c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in rows.columns]))
 
         def make(index=index, first=block == 0):
             own = index.value
