@@ -41,6 +41,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that :func:`scratch_path` named."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared folder: later jobs don't recompute them, and a lost executor takes none of them along."""
     shared_dir(df.sparkSession)
