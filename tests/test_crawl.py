@@ -13,7 +13,7 @@ from vitrine.operators import recover
 from vitrine.operators.upsert import swap_in
 from vitrine.plans import bronze, silver
 from vitrine.plans.pipeline import Storefront
-from vitrine.sources import read_bronze_json, write_json
+from vitrine.sources import read_bronze_json, write_json, write_text
 from vitrine.sources.store_feed import StoreApi, StoreError, http_transport, replay_transport, request_key, request_url
 
 DAY = date(2025, 4, 9)
@@ -68,6 +68,54 @@ def test_from_answers_to_marts(spark, tmp_path):
     assert {r["review_count"] for r in shop.table("fact_review_daily").collect()} == {152}
 
 
+def test_failed_games_are_reported(spark, tmp_path):
+    """Games that can't be fetched are named, the others arrive; if all fail, so does the step."""
+    folder = tmp_path / "answers"
+    folder.mkdir()
+    recorded(folder)
+    tracked = lambda *ids: spark.createDataFrame([(i, DAY, DAY, True, True, True, None, {}) for i in ids], S.TRACKED_GAMES)
+    options, out = {"fixtures": str(folder), "languages": "english,korean", "workers": "3"}, str(tmp_path / "bronze")
+    assert bronze.crawl_players(spark, tracked(1, 2, 3), out, DAY, **options).keys() == {3}
+    assert [r["appid"] for r in read_bronze_json(spark, f"{out}/player_counts/", S.PLAYER_COUNTS).collect()] == [1]
+    assert bronze.crawl_details(spark, tracked(1, 2, 3), out, DAY, **options).keys() == {3}
+    after, skipped = bronze.crawl_reviews(spark, tracked(1, 2, 3), out, DAY, **options)
+    assert skipped.keys() == {3} and "no recorded answer" in skipped[3]
+    assert {r["appid"]: r["review_cursors"] for r in after.collect()} == {1: {"english": "c2"}, 2: {}, 3: {}}
+    assert spark.read.parquet(f"{out}/reviews/{DAY:%Y%m%d}/reviews.parquet").where("appid = 1").count() == 152
+    with pytest.raises(StoreError):
+        bronze.crawl_players(spark, tracked(3, 4), out, DAY, **options)
+    shop = Storefront(spark, out, str(tmp_path / "wh"))
+    shop.save("tracked_games", tracked(1, 3))
+    report = shop.crawl(DAY, StoreApi(replay_transport(str(folder)), lambda s: None), **options)
+    assert report.colour == "yellow" and not report.failed and {k: set(v) for k, v in report.skipped.items()} == dict.fromkeys(("players", "details", "reviews"), {3})
+
+
+def test_only_touched_partitions_change(spark, tmp_path):
+    """A review that changes its language or month moves, the partition that it leaves is gone, and other partitions keep their files."""
+    out, wh = tmp_path / "bronze", tmp_path / "wh"
+    author = ("s", 60, 30, 0, 1, 1)
+    one = lambda i, app, lang, at=1744185600, upd=1: (str(i), author, lang, "Great story", at, upd, True, 1, 0, "0.5", True, False, False, app)
+    put = lambda day, *rows: spark.createDataFrame(list(rows), S.REVIEWS).write.parquet(str(out / "reviews" / day / "a.parquet"))
+    put("20250409", one(1, 1, "koreana"), one(2, 1, "english"), one(3, 2, "english"), one(4, 1, None), one(5, 1, ""), one(6, 1, "a/b"), one(7, 3, "english"), one(8, None, "english"))
+    put("20250410", one(1, 1, "english", upd=2), one(9, 1, None), one(6, 1, "english", upd=2), one(7, 3, "english", at=1746777600, upd=2), one(3, 1, "english"))
+    shop = Storefront(spark, str(out), str(wh))
+    shop.load_reviews(DAY)
+    files = lambda app: {p.name for p in (wh / "reviews" / f"appid={app}").rglob("*.parquet")}
+    left = files(2)
+    shop.load_reviews(date(2025, 4, 10))
+    rows = {(r["appid"], r["recommendationid"], r["language"], r["month"]) for r in spark.read.parquet(str(wh / "reviews")).collect()}
+    assert rows == {(1, "1", "english", 4), (1, "2", "english", 4), (2, "3", "english", 4), (1, "3", "english", 4), (1, "4", None, 4), (1, "5", None, 4), (1, "6", "english", 4), (3, "7", "english", 5), (1, "9", None, 4)}
+    assert files(2) == left and spark.read.parquet(str(wh / "reviews_quarantine")).count() == 1
+    assert {p.relative_to(wh / "reviews").parts[1] for p in (wh / "reviews/appid=1").rglob("*.parquet")} == {"language=__HIVE_DEFAULT_PARTITION__", "language=english"}
+    assert not list((wh / "reviews/appid=3").rglob("month=04"))
+
+
+def test_text_object(spark, tmp_path):
+    for text in ("first ü", "second"):
+        write_text(spark, text, f"{tmp_path}/a/hello.txt")
+        assert (tmp_path / "a/hello.txt").read_text() == text
+
+
 def test_no_default_limit(tmp_path):
     recorded(tmp_path)
     rows, after = StoreApi(replay_transport(str(tmp_path)), lambda s: None).reviews(1, {}, ["english"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from ..sources import StoreApi, write_json, write_parquet, write_text
-from ..sources.store_feed import StoreFeedSource
+from ..sources.store_feed import StoreError, StoreFeedSource
 from . import silver
 
 
@@ -24,10 +24,20 @@ def crawl_targets(tracked: DataFrame, *flags: str, newest_first: bool = True, li
     return ordered if limit is None else ordered.limit(limit)
 
 
-def _feed(spark: SparkSession, feed: str, ids: list[int], options: dict[str, str]) -> DataFrame:
+class Skipped(dict):
+    """Error by app id of what a crawl could not fetch."""
+
+
+def _feed(spark: SparkSession, feed: str, ids: list[int], raw: str, options: dict[str, str]) -> tuple[DataFrame, Skipped]:
+    """Answers of all games, stored raw at ``raw`` first, so that whatever is derived comes from the same ones; and the games that failed. Raises if all did."""
     ship(spark)
     spark.dataSource.register(StoreFeedSource)
-    return spark.read.format("store_feed").options(**{**options, "feed": feed, "app_ids": ",".join(map(str, ids))}).load()
+    spark.read.format("store_feed").options(**{**options, "feed": feed, "errors": "true", "app_ids": ",".join(map(str, ids))}).load().write.mode("overwrite").parquet(raw)
+    answers = spark.read.parquet(raw)
+    skipped = Skipped((r["appid"], r["error"]) for r in answers.where("error is not null").select("appid", "error").collect())
+    if len(skipped) == len(set(ids)):
+        raise StoreError(f"{feed}: all of {len(skipped)} games failed, the first with {next(iter(skipped.values()))}")
+    return answers.where("error is null").drop("error"), skipped
 
 
 def _ids(targets: DataFrame, what: str) -> list[int]:
@@ -43,31 +53,31 @@ def crawl_prices(spark: SparkSession, api: StoreApi, bronze: str, run: date, clo
     write_text(spark, json.dumps(api.discounted(**options), ensure_ascii=False), f"{bronze}/discount_games/{run:%Y%m%d}_{clock}.json")
 
 
-def crawl_players(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, clock: str = "0000", **options: str) -> None:
+def crawl_players(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, clock: str = "0000", **options: str) -> Skipped:
     """Player counts of all active games as one object; games without an answer are left out."""
-    counts = _feed(spark, "players", _ids(crawl_targets(tracked, "collect_players", newest_first=False), "players"), options)
+    ids = _ids(crawl_targets(tracked, "collect_players", newest_first=False), "players")
+    counts, skipped = _feed(spark, "players", ids, f"{bronze}/players_raw/{run:%Y%m%d}_{clock}", options)
     write_json(counts.where("player_count is not null"), f"{bronze}/player_counts/{run:%Y%m%d}_{clock}.json")
+    return skipped
 
 
-def crawl_details(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, **options: str) -> None:
+def crawl_details(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, **options: str) -> Skipped:
     """Flattened details of the games; unanswered ones are left out."""
-    raw = _feed(spark, "details", _ids(crawl_targets(tracked, newest_first=False, limit=limit), "details"), options)
-    write_parquet(silver.flatten_details(raw), f"{bronze}/appdetails/{run:%Y%m%d}/details.parquet")
+    ids = _ids(crawl_targets(tracked, newest_first=False, limit=limit), "details")
+    answers, skipped = _feed(spark, "details", ids, f"{bronze}/details_raw/{run:%Y%m%d}", options)
+    write_parquet(silver.flatten_details(answers), f"{bronze}/appdetails/{run:%Y%m%d}/details.parquet")
+    return skipped
 
 
-def crawl_reviews(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, **options: str) -> DataFrame:
-    """Reviews behind the control table's cursors as rows of the review schema; returns the control table with the cursors to go on from.
-
-    The crawl is stored raw first, so that rows and cursors come from the same answers.
-    """
+def crawl_reviews(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, **options: str) -> tuple[DataFrame, Skipped]:
+    """Reviews behind the control table's cursors as rows of the review schema; returns the control table with the cursors to go on from, and the
+    games that failed (what came before a failure is kept, with its cursor)."""
     targets = crawl_targets(tracked, "collect_reviews", limit=limit)
     rows = targets.select("appid", F.to_json("review_cursors").alias("c")).collect()
     if not rows:
         raise ValueError("no games to crawl: reviews")
     cursors = {f"{r['appid']}/{language}": cursor for r in rows if r["c"] for language, cursor in json.loads(r["c"]).items()}
-    raw = f"{bronze}/reviews_raw/{run:%Y%m%d}"
-    _feed(spark, "reviews", [r["appid"] for r in rows], {**options, "cursors": json.dumps(cursors)}).write.mode("overwrite").parquet(raw)
-    answers = spark.read.parquet(raw)
+    answers, skipped = _feed(spark, "reviews", [r["appid"] for r in rows], f"{bronze}/reviews_raw/{run:%Y%m%d}", {**options, "cursors": json.dumps(cursors)})
     write_parquet(silver.parse_reviews(answers), f"{bronze}/reviews/{run:%Y%m%d}/reviews.parquet")
     last = answers.groupBy("appid", "language").agg(F.max_by("cursor", "page").alias("cursor"))
-    return silver.merge_cursors(tracked, last)
+    return silver.merge_cursors(tracked, last), skipped

@@ -36,6 +36,13 @@ def _ab_group() -> Column:
     return F.when(_discounted(), "discount").otherwise("normal")
 
 
+def reviews_with_price(reviews: DataFrame, prices: DataFrame) -> DataFrame:
+    """Daily review counts beside the day's price, for discount against normal comparisons of single games; days without a price keep nulls."""
+    p = price_by_date(prices).withColumnsRenamed({"app_id": "__a"})
+    joined = reviews.join(p, (F.col("app_id") == F.col("__a")) & (F.col("review_date") == F.col("price_date")), "left")
+    return joined.select("app_id", "review_date", "review_count", "is_discounted", "discount_percent")
+
+
 def mart_player_daily_avg(players: DataFrame) -> DataFrame:
     return players.groupBy("app_id", "snapshot_date").agg(
         F.round(F.avg("concurrent_in_game")).alias("avg_concurrent"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas as S
 from ..functions import noun_tokens
 from ..operators import active_semi_join, latest_per_key, recover, replace_groups
-from ..sources import StoreApi, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table, write_review_lake
+from ..sources import StoreApi, drop_review_partitions, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table, write_review_lake
 from . import bronze, gold, marts, silver, staging
 
 TABLES = {
@@ -26,14 +26,15 @@ TABLES = {
 
 @dataclass
 class Report:
-    """Outcome by step; ``colour`` is green without failures, red if all failed, else yellow."""
+    """Outcome by step, and the games that a step could not fetch; ``colour`` is green without failures, red if all failed, else yellow."""
 
     done: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
+    skipped: dict[str, dict[int, str]] = field(default_factory=dict)
 
     @property
     def colour(self) -> str:
-        return "green" if not self.failed else "yellow" if self.done else "red"
+        return "green" if not self.failed and not self.skipped else "yellow" if self.done else "red"
 
 
 class Storefront:
@@ -78,11 +79,20 @@ class Storefront:
         dated, undated = silver.split_undated(silver.clean_reviews(feed.drop("_file")))
         quarantine = self.spark.read.parquet(self.path("reviews_quarantine")).unionByName(undated, allowMissingColumns=True) if self.exists("reviews_quarantine") else undated
         self.save("reviews_quarantine", latest_per_key(quarantine, ["appid", "recommendationid"], ["timestamp_updated", "review"]))
-        lake = self.spark.read.parquet(self.path("reviews")).drop("year", "month") if self.exists("reviews") else None
-        merged = silver.merge_reviews(lake, dated)
-        # The lake is read here, so the merged rows go beside it first.
-        merged.write.mode("overwrite").parquet(self.path("reviews_merged"))
-        write_review_lake(self.spark.read.parquet(self.path("reviews_merged")), self.path("reviews"))
+        read, path = self.spark.read.parquet, self.path
+        self.save("reviews_incoming", silver.merge_reviews(None, dated))
+        fresh = read(path("reviews_incoming"))
+        lake = read(path("reviews")) if self.exists("reviews") else None
+        self.save("reviews_touched", silver.touched_partitions(lake, fresh))
+        touched = read(path("reviews_touched"))
+        before = None if lake is None else silver.rows_in(lake, touched).drop("year", "month")
+        # Only touched partitions are read and replaced; the merged rows go beside the lake first.
+        self.save("reviews_merged", silver.merge_reviews(before, fresh))
+        merged = read(path("reviews_merged"))
+        write_review_lake(merged, path("reviews"))
+        if lake is not None:
+            now = silver.touched_partitions(None, merged)
+            drop_review_partitions(self.spark, path("reviews"), touched.exceptAll(now))
 
     def _active_lake(self) -> DataFrame:
         return active_semi_join(self.spark.read.parquet(self.path("reviews")), self.table("tracked_games"), "appid", "appid", "is_active")
@@ -120,15 +130,18 @@ class Storefront:
             "mart_discount_playtime_trend": marts.mart_discount_playtime_trend(s["stg_review_playtime_daily"], prices, games),
         }
         for name, df in out.items():
-            df.write.mode("overwrite").parquet(self.path(name))
+            ordered = df.orderBy("app_id", "date") if "date" in df.columns else df
+            ordered.write.mode("overwrite").parquet(self.path(name))
         return {name: self.spark.read.parquet(self.path(name)) for name in out}
 
     def crawl(self, run_date: date, api: StoreApi, clock: str = "0000", **options: str) -> Report:
         """Fetches all feeds into bronze: prices first, since they name the games to follow; review cursors go back to the control table."""
         s, b = self.spark, self.bronze
 
-        def reviews() -> None:
-            self.save("tracked_games", bronze.crawl_reviews(s, self.table("tracked_games"), b, run_date, **options))
+        def reviews() -> bronze.Skipped:
+            tracked, skipped = bronze.crawl_reviews(s, self.table("tracked_games"), b, run_date, **options)
+            self.save("tracked_games", tracked)
+            return skipped
 
         return self._steps([
             ("prices", lambda: (bronze.crawl_prices(s, api, b, run_date, clock), self.load_prices(run_date))),
@@ -146,8 +159,10 @@ class Storefront:
         report = Report()
         for name, step in steps:
             try:
-                step()
+                skipped = step()
                 report.done.append(name)
+                if isinstance(skipped, bronze.Skipped) and skipped:
+                    report.skipped[name] = dict(skipped)
             except Exception as e:  # noqa: BLE001
                 report.failed[name] = f"{type(e).__name__}: {e}"[:500]
         if not report.done:

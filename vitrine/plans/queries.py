@@ -145,6 +145,13 @@ def discount_playtime_trend(spark, d):
     )
 
 
+@query(f"""with {PRICE_SQL}, r as (select user_id app_id, cast(ts as date) review_date, cast(count(*) as bigint) review_count from events
+    group by user_id, event_type, cast(ts as date))
+  select r.app_id, review_date, review_count, is_discounted, discount_percent from r left join p on r.app_id = p.app_id and review_date = price_date""")
+def reviews_with_price(spark, d):
+    return marts.reviews_with_price(review_daily_count(spark, d), _prices(spark, d))
+
+
 @query("""select user_id app_id, cast(ts as date) "date", round(avg(value) over (partition by user_id order by ts, event_id
     rows between 7 preceding and 1 preceding), 6) baseline from events""")
 def trailing_baseline(spark, d):

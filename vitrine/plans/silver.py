@@ -171,8 +171,9 @@ def clean_reviews(reviews: DataFrame) -> DataFrame:
 
 
 def split_undated(reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(dated rows, quarantine): rows without a creation time never reach the lake's date partitions."""
-    return reviews.where("timestamp_created is not null"), reviews.where("timestamp_created is null")
+    """(dated rows, quarantine): rows without a creation time or a game never reach the lake's partitions."""
+    placed = F.col("timestamp_created").isNotNull() & F.col("appid").isNotNull()
+    return reviews.where(placed), reviews.where(~placed)
 
 
 def merge_reviews(lake: DataFrame | None, fresh: DataFrame) -> DataFrame:
@@ -181,6 +182,26 @@ def merge_reviews(lake: DataFrame | None, fresh: DataFrame) -> DataFrame:
     return latest_per_key(both, ["appid", "recommendationid"], ["timestamp_updated", "timestamp_created", "review"])
 
 
+#: Partition columns of the review lake.
+LAKE_PARTS = ["appid", "language", "year", "month"]
+
+
+def touched_partitions(lake: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """Partitions that ``fresh`` goes into, and those that hold an earlier row of one of its reviews (its language or time may have changed)."""
+    to = fresh.select("appid", F.nullif(F.col("language"), F.lit("")).alias("language"), F.col("review_year").alias("year"), F.col("review_month").alias("month"))
+    if lake is None:
+        return to.distinct()
+    held = lake.join(fresh.select("appid", "recommendationid"), ["appid", "recommendationid"], "left_semi")
+    return to.union(held.select(*LAKE_PARTS)).distinct()
+
+
+def rows_in(lake: DataFrame, parts: DataFrame) -> DataFrame:
+    """The lake's rows in ``parts``; the game is joined by plain equality, so that partitions are pruned, the language may be null."""
+    p = parts.select(*[F.col(c).alias(f"__{c}") for c in LAKE_PARTS])
+    on = (F.col("appid") == F.col("__appid")) & F.col("language").eqNullSafe(F.col("__language")) & (F.col("year") == F.col("__year")) & (F.col("month") == F.col("__month"))
+    return lake.join(p, on, "left_semi")
+
+
 def review_daily(lake: DataFrame, now: Column | None = None) -> DataFrame:
     day = F.to_date("timestamp_created")
     return (

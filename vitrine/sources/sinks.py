@@ -53,5 +53,15 @@ def write_review_lake(df: DataFrame, path: str, rows_per_file: int = 1_000_000)
     rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy(*cols).parquet(path)
 
 
+def drop_review_partitions(spark: SparkSession, path: str, parts: DataFrame) -> None:
+    """Deletes the folders of partitions that hold nothing any more."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for r in parts.toLocalIterator():
+        language = "__HIVE_DEFAULT_PARTITION__" if not r["language"] else escape(r["language"])
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/appid={r['appid']}/language={language}/year={r['year']}/month={r['month']:02d}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     swap_in(df, path)

@@ -164,6 +164,10 @@ def _api(options: dict) -> StoreApi:
     return StoreApi(transport, wait, options.get("key", ""))
 
 
+def _tells_errors(options: dict) -> bool:
+    return options.get("errors", "false") == "true"
+
+
 class AppBatch(InputPartition):
     def __init__(self, app_ids: list[int]):
         self.app_ids = app_ids
@@ -171,7 +175,8 @@ class AppBatch(InputPartition):
 
 class StoreFeedReader(DataSourceReader):
     """Partitions are batches of app ids; their number bounds the request rate. Failed apps are skipped
-    unless all of a partition fail, and are named in the task's error then."""
+    unless all of a partition fail, and are named in the task's error then; with the option ``errors`` each gives
+    a row of its id and its ``error`` instead."""
 
     def __init__(self, options: dict):
         self.options = options
@@ -186,24 +191,27 @@ class StoreFeedReader(DataSourceReader):
         now = self.options.get("now") or datetime.now(timezone.utc).isoformat()
         cursors = json.loads(self.options.get("cursors", "{}"))
         pause = (lambda s: None) if self.options.get("fixtures") else time.sleep
+        told = (None,) if _tells_errors(self.options) else ()
         for i, appid in enumerate(partition.app_ids):
             if i:
                 pause(DETAIL_WAIT_S if feed == "details" else WAIT_S)
             try:
                 if feed == "players":
-                    yield appid, api.current_players(appid), now
+                    yield appid, api.current_players(appid), now, *told
                 elif feed == "details":
                     detail = api.app_details(appid, self.options.get("cc", "kr"), self.options.get("language", "korean"))
-                    yield appid, None if detail is None else json.dumps(detail), now
+                    yield appid, None if detail is None else json.dumps(detail), now, *told
                 else:
                     for language in self.options.get("languages", "korean,english").split(","):
                         limit = int(self.options["limit"]) if "limit" in self.options else None
                         for page, (rows, cursor) in enumerate(api.review_pages(appid, language, cursors.get(f"{appid}/{language}", "*"), limit), 1):
                             for r in rows:
-                                yield appid, language, json.dumps(r), page, cursor
+                                yield appid, language, json.dumps(r), page, cursor, *told
             except StoreError as e:
                 failed.append(f"{appid}: {e}")
-        if failed and len(failed) == len(partition.app_ids):
+                if told:
+                    yield appid, *[None] * FEEDS[feed].count(","), str(e)
+        if not told and failed and len(failed) == len(partition.app_ids):
             raise StoreError("; ".join(failed)[:2000])
 
 
@@ -261,7 +269,7 @@ class StoreFeedSource(DataSource):
         return "store_feed"
 
     def schema(self):
-        return FEEDS[self.options.get("feed", "reviews")]
+        return FEEDS[self.options.get("feed", "reviews")] + ", error STRING" * _tells_errors(self.options)
 
     def reader(self, schema):
         return StoreFeedReader(dict(self.options))
