@@ -32,5 +32,5 @@ def in_order(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     return cut(placed.select("__key", "conv", "turn", "role", "text", F.monotonically_increasing_id().alias("__place")))
 
 
-def block(bits: int = BLOCK_BITS) -> Column:
-    return F.shiftright("__place", bits)
+def block() -> Column:
+    return F.shiftright("__place", BLOCK_BITS)

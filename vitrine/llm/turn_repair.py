@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import conversations
 from .common import cut, scan
-from .conversations import BLOCK_BITS, block, in_order
+from .conversations import block, in_order
 
 #: Costs of edits, and of a truncated turn that stays.
 RENAME, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
@@ -188,7 +189,7 @@ def repair(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     listed = F.collect_list(F.struct(F.col("__place").alias("place"), "kind")).alias("places")
     blocks = cut(turns.select("__key", "__place", "kind").unionByName(firsts).groupBy("__key", block().alias("at")).agg(listed))
     levels = [cut(scan(blocks, ["places"], SUMMARY, each(summarise), keep=["__key", "at"]))]
-    bits = BLOCK_BITS
+    bits = conversations.BLOCK_BITS
 
     def merged(parts: DataFrame, at: Column) -> DataFrame:
         grouped = parts.groupBy("__key", at.alias("__up")).agg(F.collect_list(F.struct(*[F.col(c) for c in parts.columns if c != "__key"])).alias("parts"))
