@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.journal import Change, Journal
 from ..session import ship
 from ..sources import StoreApi, write_json, write_parquet, write_text
 from ..sources.store_feed import StoreError, StoreFeedSource
@@ -69,15 +71,39 @@ def crawl_details(spark: SparkSession, tracked: DataFrame, bronze: str, run: dat
     return skipped
 
 
-def crawl_reviews(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, **options: str) -> tuple[DataFrame, Skipped]:
-    """Reviews behind the control table's cursors as rows of the review schema; returns the control table with the cursors to go on from, and the
-    games that failed (what came before a failure is kept, with its cursor)."""
+def interval(before: dict[str, str], after: dict[str, str]) -> str:
+    """Name of a chunk: digests of the cursors that it starts from and ends at."""
+    digest = lambda cursors: hashlib.sha256(json.dumps(cursors, sort_keys=True).encode()).hexdigest()[:16]
+    return f"{digest(before)}-{digest(after)}"
+
+
+def crawl_reviews(spark: SparkSession, tracked: DataFrame, bronze: str, run: date, limit: int | None = None, change: Change | None = None, **options: str) -> tuple[DataFrame, Skipped]:
+    """Reviews behind the control table's cursors as a chunk of rows of the review schema; returns the control table with the cursors to go on from,
+    and the games that failed (what came before a failure is kept, with its cursor).
+
+    A chunk is named by the cursors between which it lies and never overwrites another. With ``change`` the chunk is staged there, so that the caller
+    commits it together with the control table: then a crawl that dies leaves both as they were, and the next one fetches the same pages again.
+    """
     targets = crawl_targets(tracked, "collect_reviews", limit=limit)
     rows = targets.select("appid", F.to_json("review_cursors").alias("c")).collect()
     if not rows:
         raise ValueError("no games to crawl: reviews")
     cursors = {f"{r['appid']}/{language}": cursor for r in rows if r["c"] for language, cursor in json.loads(r["c"]).items()}
-    answers, skipped = _feed(spark, "reviews", [r["appid"] for r in rows], f"{bronze}/reviews_raw/{run:%Y%m%d}", {**options, "cursors": json.dumps(cursors)})
-    write_parquet(silver.parse_reviews(answers), f"{bronze}/reviews/{run:%Y%m%d}/reviews.parquet")
-    last = answers.groupBy("appid", "language").agg(F.max_by("cursor", "page").alias("cursor"))
-    return silver.merge_cursors(tracked, last), skipped
+    own = change is None
+    change = Journal(spark, bronze).begin() if own else change
+    raw, parsed = change.folder("reviews_raw"), change.folder("reviews")
+    answers, skipped = _feed(spark, "reviews", [r["appid"] for r in rows], raw, {**options, "cursors": json.dumps(cursors)})
+    last = lambda df: df.groupBy("appid", "language").agg(F.max_by("cursor", "page").alias("cursor"))
+    ends = {f"{r['appid']}/{r['language']}": r["cursor"] for r in last(answers).collect()}
+    if ends:
+        write_parquet(silver.parse_reviews(answers), parsed)
+        name, files = interval(cursors, {**cursors, **ends}), change.journal.files
+        chunk = lambda kind, i: f"{bronze}/{kind}/{run:%Y%m%d}/reviews.parquet/chunk={name}" + f"-{i}" * bool(i)
+        # A last page that answers with its own cursor may be fetched again, under the same name.
+        free = next(i for i in range(1_000_000) if not files.exists(chunk("reviews", i)))
+        change.move(raw, chunk("reviews_raw", free))
+        change.move(parsed, chunk("reviews", free))
+        if own:
+            change.commit()
+            answers = spark.read.parquet(chunk("reviews_raw", free)).where("error is null")
+    return silver.merge_cursors(tracked, last(answers)), skipped

@@ -7,15 +7,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import noun_tokens
-from ..operators import active_semi_join, latest_per_key, recover, replace_groups
-from ..sources import StoreApi, drop_review_partitions, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table, write_review_lake
+from ..operators import latest_per_key, recover
+from ..operators.journal import Change, Journal
+from ..sources import StoreApi, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table
 from . import bronze, gold, marts, silver, staging
+from .lake import ReviewLake, replace_days
 
 TABLES = {
     "tracked_games": S.TRACKED_GAMES, "dim_games": S.DIM_GAMES, "dim_genres": S.DIM_GENRES, "dim_game_genres": S.DIM_GAME_GENRES,
@@ -23,14 +26,24 @@ TABLES = {
     "fact_review_playtime_daily": S.FACT_PLAYTIME_DAILY, "gold_review_morphemes": S.GOLD_TOKENS,
 }
 
+#: Tables in partitions, and the columns that name them: facts by the day of a column, tokens by group.
+DAYS = {"fact_concurrent_players": "collected_at", "fact_price_history": "collected_at", "fact_review_daily": "review_date", "fact_review_playtime_daily": "review_date"}
+PARTS = {**dict.fromkeys(DAYS, "day STRING"), "gold_review_morphemes": "game INT, lang STRING"}
+DAILY_KEYS = ["app_id", "language", "review_date"]
+
+
+class Note(str):
+    """What a step has to tell without having failed."""
+
 
 @dataclass
 class Report:
-    """Outcome by step, and the games that a step could not fetch; ``colour`` is green without failures, red if all failed, else yellow."""
+    """Outcome by step, the games that a step could not fetch, and what else it had to tell; ``colour`` is green without failures, red if all failed, else yellow."""
 
     done: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
     skipped: dict[str, dict[int, str]] = field(default_factory=dict)
+    notes: dict[str, str] = field(default_factory=dict)
 
     @property
     def colour(self) -> str:
@@ -38,35 +51,59 @@ class Report:
 
 
 class Storefront:
-    def __init__(self, spark: SparkSession, bronze: str, warehouse: str, korean_analyzer: Callable | None = None):
+    """Bronze prefixes and the warehouse's tables; both must lie in one store, since changes of both are moves of folders."""
+
+    def __init__(self, spark: SparkSession, bronze: str, warehouse: str, korean_analyzer: Callable | None = None, index_buckets: int = 64):
         self.spark, self.bronze, self.root = spark, bronze, warehouse
-        self.nouns = noun_tokens(korean_analyzer or (lambda: None))
+        self.analyzer, self.nouns = korean_analyzer, noun_tokens(korean_analyzer or (lambda: None))
+        self.journal, self.lake = Journal(spark, warehouse), ReviewLake(spark, warehouse, index_buckets)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
-        """Whether the table stands, after ending a swap that was cut off."""
+        """Whether the table stands, after ending a change or a swap that was cut off."""
+        if self.journal.pending():
+            self.journal.recover()
         recover(self.spark, self.path(table))
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return self.journal.files.exists(self.path(table))
+
+    def parted(self, name: str) -> DataFrame:
+        """A table with the columns that name its partitions."""
+        kinds = f"{TABLES[name]}, {PARTS[name]}" if name in PARTS else TABLES[name]
+        return self.spark.read.schema(kinds).parquet(self.path(name)) if self.exists(name) else self.spark.createDataFrame([], kinds)
 
     def table(self, name: str) -> DataFrame:
-        if self.exists(name):
-            return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
-        return self.spark.createDataFrame([], TABLES[name])
+        df = self.parted(name)
+        return df.drop(*[p.split()[0] for p in PARTS[name].split(", ")]) if name in PARTS else df
 
     def save(self, name: str, df: DataFrame) -> None:
         replace_table(df, self.path(name))
 
-    def load_prices(self, run_date: date) -> None:
+    def merge_days(self, change: Change, name: str, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Stages a fact table in which the days of ``rows`` are merged; other days keep their files."""
+        day = F.date_format(DAYS[name], "yyyy-MM-dd")
+        days = sorted(r["d"] for r in rows.select(day.alias("d")).where("d is not null").distinct().collect())  # the calendar bounds them
+        if days:
+            old = self.parted(name).where(F.col("day").isin(days)).drop("day")
+            change.replace_partitions(merge(old, rows).withColumn("day", day), self.path(name), ["day"])
+
+    def load_prices(self, run_date: date) -> Note | None:
         feed = latest_file_only(read_bronze_json(self.spark, f"{self.bronze}/discount_games/{run_date:%Y%m%d}", S.DISCOUNT_GAMES))
-        self.save("tracked_games", silver.merge_tracked(self.table("tracked_games"), silver.discounted_ids(feed), run_date))
-        self.save("fact_price_history", silver.merge_prices(self.table("fact_price_history"), silver.price_rows(feed, run_date)))
+        change, rows = self.journal.begin(), silver.price_rows(feed, run_date)
+        change.replace(silver.merge_tracked(self.table("tracked_games"), silver.discounted_ids(feed), run_date), self.path("tracked_games"))
+        self.merge_days(change, "fact_price_history", rows, silver.merge_prices)
+        change.commit()
+        return Note("the day's answer has no items") if rows.isEmpty() else None
 
     def load_players(self, run_date: date) -> None:
         feed = silver.require_rows(read_bronze_json(self.spark, f"{self.bronze}/player_counts/{run_date:%Y%m%d}", S.PLAYER_COUNTS), "player counts")
-        self.save("fact_concurrent_players", silver.merge_players(self.table("fact_concurrent_players"), feed))
+        change = self.journal.begin()
+        # Rows are staged first: a count without a time is dated now, and all that follows must see the same now.
+        rows = change.folder("players")
+        silver.player_rows(feed).write.parquet(rows)
+        self.merge_days(change, "fact_concurrent_players", self.spark.read.parquet(rows), silver.merge_player_rows)
+        change.commit()
 
     def load_details(self, run_date: date) -> None:
         feed = silver.require_rows(read_bronze_parquet(self.spark, f"{self.bronze}/appdetails/{run_date:%Y%m%d}", S.APP_DETAILS), "app details")
@@ -75,37 +112,67 @@ class Storefront:
         self.save("dim_game_genres", silver.merge_game_genres(self.table("dim_game_genres"), feed))
 
     def load_reviews(self, run_date: date) -> None:
+        """The day's chunks into the lake; which of them were loaded before makes no difference."""
         feed = silver.require_rows(read_bronze_parquet(self.spark, f"{self.bronze}/reviews/{run_date:%Y%m%d}", S.REVIEWS), "reviews")
         dated, undated = silver.split_undated(silver.clean_reviews(feed.drop("_file")))
+        if self.exists("reviews") and not self.lake.index.generations():
+            change = self.journal.begin()
+            self.lake.build_index(change)
+            change.commit()
         quarantine = self.spark.read.parquet(self.path("reviews_quarantine")).unionByName(undated, allowMissingColumns=True) if self.exists("reviews_quarantine") else undated
-        self.save("reviews_quarantine", latest_per_key(quarantine, ["appid", "recommendationid"], ["timestamp_updated", "review"]))
-        read, path = self.spark.read.parquet, self.path
-        self.save("reviews_incoming", silver.merge_reviews(None, dated))
-        fresh = read(path("reviews_incoming"))
-        lake = read(path("reviews")) if self.exists("reviews") else None
-        self.save("reviews_touched", silver.touched_partitions(lake, fresh))
-        touched = read(path("reviews_touched"))
-        before = None if lake is None else silver.rows_in(lake, touched).drop("year", "month")
-        # Only touched partitions are read and replaced; the merged rows go beside the lake first.
-        self.save("reviews_merged", silver.merge_reviews(before, fresh))
-        merged = read(path("reviews_merged"))
-        write_review_lake(merged, path("reviews"))
-        if lake is not None:
-            now = silver.touched_partitions(None, merged)
-            drop_review_partitions(self.spark, path("reviews"), touched.exceptAll(now))
-
-    def _active_lake(self) -> DataFrame:
-        return active_semi_join(self.spark.read.parquet(self.path("reviews")), self.table("tracked_games"), "appid", "appid", "is_active")
+        change = self.journal.begin()
+        change.replace(latest_per_key(quarantine, ["appid", "recommendationid"], ["timestamp_updated", "review"]), self.path("reviews_quarantine"))
+        self.lake.merge(change, dated)
+        change.commit()
+
+    def _active(self, consumer: str) -> tuple[DataFrame, list[int]]:
+        """Active games, and those of them that were not when the consumer last ran; the store's catalogue bounds them."""
+        active = self.table("tracked_games").where("is_active").select("appid").distinct()
+        before = f"active_{consumer}"
+        seen = self.spark.read.parquet(self.path(before)) if self.exists(before) else active.limit(0)
+        return active, [r["appid"] for r in active.join(seen, "appid", "left_anti").collect()]
+
+    def _touched(self, consumer: str) -> tuple[Change, DataFrame]:
+        """A change that takes note of what was touched, and those partitions (also all of newly active games) as far as their games are active."""
+        change = self.journal.begin()
+        active, new = self._active(consumer)
+        parts, lists = self.lake.touched(consumer)
+        # Lists of inactive games' partitions can go: when such a game is active again, all its partitions are taken.
+        staged = change.folder("parts")
+        parts.unionByName(self.lake.parts_of(new)).distinct().join(active, "appid", "left_semi").write.parquet(staged)
+        for path in lists:
+            change.drop(path)
+        change.replace(active, self.path(f"active_{consumer}"))
+        return change, self.spark.read.schema(ReviewLake.PARTS).parquet(staged)
 
     def load_review_facts(self) -> None:
-        lake = self._active_lake()
-        self.save("fact_review_daily", silver.merge_daily(self.table("fact_review_daily"), silver.review_daily(lake)))
-        self.save("fact_review_playtime_daily", silver.merge_daily(self.table("fact_review_playtime_daily"), silver.review_playtime_daily(lake)))
-
-    def load_tokens(self, top_n: int = 1000) -> None:
-        lake = self._active_lake()
-        fresh = gold.english_review_tokens(lake, top_n).unionByName(gold.korean_review_tokens(lake, self.nouns, top_n))
-        self.save("gold_review_morphemes", replace_groups(self.table("gold_review_morphemes"), fresh, ["app_id", "language"]))
+        """Counts the touched partitions of the lake again and replaces the days on which that changes a row."""
+        change, parts = self._touched("facts")
+        rows = self.lake.rows(self.lake.standing(self.lake.folders(parts)))
+        for name, count in (("fact_review_daily", silver.review_daily), ("fact_review_playtime_daily", silver.review_playtime_daily)):
+            replace_days(change, self.path(name), self.parted(name), count(rows), parts, DAILY_KEYS, "review_date")
+        change.commit()
+
+    def load_tokens(self, top_n: int = 1000) -> Note | None:
+        """Counts tokens of the touched partitions, and refreshes the top tokens of the games and languages that they belong to."""
+        change, parts = self._touched("tokens")
+        folders = self.lake.folders(parts)
+        counts = self.path("review_token_counts")
+        counted = gold.part_tokens(self.lake.rows(self.lake.standing(folders)), self.nouns)
+        new = change.replace_partitions(counted.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0")), counts, silver.LAKE_PARTS, dropped=folders)
+        # What a touched group's other partitions hold was counted before.
+        groups = sorted({f.split("/year=")[0] for f in folders})
+        files = self.journal.files
+        paths = [f"{counts}/{g}/{leaf}" for g in groups if files.exists(f"{counts}/{g}") for leaf in files.leaves(f"{counts}/{g}") if f"{g}/{leaf}" not in set(folders)]
+        kinds = f"token STRING, frequency BIGINT, review_appearances BIGINT, first_at TIMESTAMP, last_at TIMESTAMP, {ReviewLake.PARTS}"
+        kept = self.spark.read.schema(kinds).option("basePath", counts).parquet(*paths) if paths else self.spark.createDataFrame([], kinds)
+        fresh = gold.merged_tokens(self.spark.read.schema(kinds).parquet(new).unionByName(kept), top_n).withColumns({"game": F.col("app_id"), "lang": F.col("language")})
+        gone = [g.replace("appid=", "game=").replace("/language=", "/lang=") for g in groups]
+        change.replace_partitions(fresh, self.path("gold_review_morphemes"), ["game", "lang"], dropped=gone)
+        change.commit()
+        if self.analyzer is None and any("/language=korean/" in f for f in folders):
+            return Note("no noun analyzer is given: Korean reviews have no tokens")
+        return None
 
     def staged(self) -> dict[str, DataFrame]:
         t = self.table
@@ -134,13 +201,19 @@ class Storefront:
             ordered.write.mode("overwrite").parquet(self.path(name))
         return {name: self.spark.read.parquet(self.path(name)) for name in out}
 
-    def crawl(self, run_date: date, api: StoreApi, clock: str = "0000", **options: str) -> Report:
-        """Fetches all feeds into bronze: prices first, since they name the games to follow; review cursors go back to the control table."""
+    def crawl(self, run_date: date, api: StoreApi, clock: str | None = None, **options: str) -> Report:
+        """Fetches all feeds into bronze: prices first, since they name the games to follow; review cursors go back to the control table.
+
+        ``clock`` names the snapshots of prices and players; by default it is the time of day, so crawls of one day stand side by side."""
         s, b = self.spark, self.bronze
+        clock = f"{datetime.now(timezone.utc):%H%M%S%f}" if clock is None else clock
 
         def reviews() -> bronze.Skipped:
-            tracked, skipped = bronze.crawl_reviews(s, self.table("tracked_games"), b, run_date, **options)
-            self.save("tracked_games", tracked)
+            """The chunk and the cursors behind it are one change."""
+            change = self.journal.begin()
+            tracked, skipped = bronze.crawl_reviews(s, self.table("tracked_games"), b, run_date, change=change, **options)
+            change.replace(tracked, self.path("tracked_games"))
+            change.commit()
             return skipped
 
         return self._steps([
@@ -159,10 +232,13 @@ class Storefront:
         report = Report()
         for name, step in steps:
             try:
-                skipped = step()
+                told = step()
                 report.done.append(name)
-                if isinstance(skipped, bronze.Skipped) and skipped:
-                    report.skipped[name] = dict(skipped)
+                for x in told if isinstance(told, tuple) else (told,):
+                    if isinstance(x, bronze.Skipped) and x:
+                        report.skipped[name] = dict(x)
+                    elif isinstance(x, Note):
+                        report.notes[name] = str(x)
             except Exception as e:  # noqa: BLE001
                 report.failed[name] = f"{type(e).__name__}: {e}"[:500]
         if not report.done:

@@ -132,9 +132,13 @@ def player_rows(counts: DataFrame) -> DataFrame:
     return counts.select("*", place.alias("_at")).where("appid is not null and player_count is not null").select(F.col("appid").alias("app_id"), F.col("player_count").alias("concurrent_in_game"), iso_timestamp(F.col("collected_at")).alias("collected_at"), F.col(order).alias("_order"), F.col("_at").alias("_place"))
 
 
-def merge_players(fact: DataFrame, counts: DataFrame) -> DataFrame:
+def merge_player_rows(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """Of several counts of one game and time the last by file and place wins."""
-    return upsert(fact, player_rows(counts), ["app_id", "collected_at"], ["concurrent_in_game"], order=["_order", "_place"])
+    return upsert(fact, rows, ["app_id", "collected_at"], ["concurrent_in_game"], order=["_order", "_place"])
+
+
+def merge_players(fact: DataFrame, counts: DataFrame) -> DataFrame:
+    return merge_player_rows(fact, player_rows(counts))
 
 
 # ---- reviews
