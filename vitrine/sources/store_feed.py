@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import time
 import urllib.error
 import urllib.parse
@@ -16,7 +17,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 Transport = Callable[[str, dict], dict]
 PAGE, TIMEOUT_S, WAIT_S, DETAIL_WAIT_S = 100, 30, 0.5, 1.5
@@ -138,6 +139,8 @@ class StoreApi:
                         out.append(r)
         return out, after
 
+    # Fixed values of the wire format: the names of the query's parameters, filters and parts.
+
     def query(self, start: int = 0, count: int = 1000, sort: int = 0, filters: dict | None = None, context: dict | None = None, data_request: dict | None = None, name: str = "") -> dict:
         """Store query; the nested request travels as one JSON parameter."""
         request = {"query_name": name, "query": {"start": start, "count": count, "sort": sort, "filters": filters or {}}, "context": context or {}, "data_request": data_request or {}}
@@ -158,10 +161,54 @@ FEEDS = {
 }
 
 
-def _api(options: dict) -> StoreApi:
+class Bucket:
+    """A token bucket: ``rate`` requests a second, up to ``burst`` at once; :meth:`take` waits for the next one. What one task is allowed."""
+
+    def __init__(self, rate: float, burst: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.rate, self.burst, self.clock, self.sleep = rate, burst, clock, sleep
+        self.left, self.at = float(burst), clock()
+
+    def take(self) -> None:
+        now = self.clock()
+        self.left, self.at = min(self.burst, self.left + (now - self.at) * self.rate), now
+        self.left -= 1
+        if self.left < 0:
+            self.sleep(-self.left / self.rate)
+
+
+#: Requests a second of the whole application unless the option ``requests_per_second`` is given, by feed: the store's usual waits, for eight at a time
+#: with reviews and one at a time else.
+RATES = {"players": 1 / WAIT_S, "reviews": 8 / WAIT_S, "details": 1 / DETAIL_WAIT_S}
+
+
+def share_of_budget(options: dict, feed: str, partitions: int) -> float:
+    """Requests a second for each of the partitions that may run at once, so that all of them together keep to the budget at any number of tasks.
+
+    At most ``slots`` tasks (cores of the application, if the option tells them) run at once, so more partitions than that don't thin out the rate."""
+    budget = float(options.get("requests_per_second", RATES[feed]))
+    if budget <= 0:
+        raise ValueError("requests_per_second must be above 0")
+    return budget / max(1, min(partitions, int(options.get("slots", partitions))))
+
+
+def _api(options: dict, bucket: Bucket | None = None) -> StoreApi:
+    """With a bucket each request takes from it, and pages need no waits of their own."""
     transport = replay_transport(options["fixtures"]) if options.get("fixtures") else http_transport(options["api_url"], options["store_url"])
-    wait = (lambda s: None) if options.get("fixtures") else time.sleep
-    return StoreApi(transport, wait, options.get("key", ""))
+    if bucket is None:
+        return StoreApi(transport, (lambda s: None) if options.get("fixtures") else time.sleep, options.get("key", ""))
+
+    def get(endpoint: str, params: dict) -> dict:
+        bucket.take()
+        return transport(endpoint, params)
+
+    return StoreApi(get, lambda s: None, options.get("key", ""))
+
+
+def _bucket(options: dict, feed: str, partitions: int) -> Bucket | None:
+    """Recorded answers need no budget unless one is asked for."""
+    if options.get("fixtures") and "requests_per_second" not in options:
+        return None
+    return Bucket(share_of_budget(options, feed, partitions))
 
 
 def _tells_errors(options: dict) -> bool:
@@ -169,12 +216,14 @@ def _tells_errors(options: dict) -> bool:
 
 
 class AppBatch(InputPartition):
-    def __init__(self, app_ids: list[int]):
-        self.app_ids = app_ids
+    """Some games, and the number of such batches, which share the request budget."""
+
+    def __init__(self, app_ids: list[int], of: int = 1):
+        self.app_ids, self.of = app_ids, of
 
 
 class StoreFeedReader(DataSourceReader):
-    """Partitions are batches of app ids; their number bounds the request rate. Failed apps are skipped
+    """Partitions are batches of app ids (``workers`` of them), which share one request budget. Failed apps are skipped
     unless all of a partition fail, and are named in the task's error then; with the option ``errors`` each gives
     a row of its id and its ``error`` instead."""
 
@@ -184,17 +233,15 @@ class StoreFeedReader(DataSourceReader):
     def partitions(self):
         ids = [int(x) for x in self.options.get("app_ids", "").split(",") if x.strip()]
         n = max(1, min(int(self.options.get("workers", "1")), len(ids) or 1))
-        return [AppBatch(ids[i::n]) for i in range(n)]
+        return [AppBatch(ids[i::n], n) for i in range(n)]
 
     def read(self, partition):
-        api, feed, failed = _api(self.options), self.options["feed"], []
+        feed, failed = self.options["feed"], []
+        api = _api(self.options, _bucket(self.options, feed, partition.of))
         now = self.options.get("now") or datetime.now(timezone.utc).isoformat()
         cursors = json.loads(self.options.get("cursors", "{}"))
-        pause = (lambda s: None) if self.options.get("fixtures") else time.sleep
         told = (None,) if _tells_errors(self.options) else ()
-        for i, appid in enumerate(partition.app_ids):
-            if i:
-                pause(DETAIL_WAIT_S if feed == "details" else WAIT_S)
+        for appid in partition.app_ids:
             try:
                 if feed == "players":
                     yield appid, api.current_players(appid), now, *told
@@ -215,52 +262,111 @@ class StoreFeedReader(DataSourceReader):
             raise StoreError("; ".join(failed)[:2000])
 
 
-class ReviewStream(SimpleDataSourceStreamReader):
-    """Offset: cursor and number of pages by ``appid/language``, so a last page that answers with its own start cursor counts as read. One
-    ``read`` takes up to ``pages_per_batch`` pages of each feed, so ``availableNow`` drains a feed that fits, and memory stays bounded. At least once: readers dedupe by id."""
+class FeedBatch(InputPartition):
+    """Feeds (game, language) of one task and where each stands: cursor, pages so far, and ``end`` (a page that answered with its own cursor: there is no
+    more) or ``idle`` (no more for now). With it the pages that it may fetch of each, the batch, and the task's number of how many."""
+
+    def __init__(self, feeds: list[tuple[int, str, list]], pages: int, batch: int, number: int, of: int):
+        self.feeds, self.pages, self.batch, self.number, self.of = feeds, pages, batch, number, of
+
+
+class ReviewStream(DataSourceStreamReader):
+    """Reviews behind cursors, fetched by the tasks: the driver asks for no page.
+
+    The offset is the number of the batch. Where a batch ends, the cursors behind its pages, is known only when its tasks have run; so each task writes
+    what it reached to ``state`` (a folder that driver and executors share), and the next batch starts from there. A task that runs again for the same
+    batch (a lost executor, a restart before the batch was committed) finds the note, if it was written, and fetches up to the same pages again. None is
+    lost; readers dedupe by id.
+
+    A batch takes up to ``pages_per_batch`` pages of each feed, and ``pages_in_all`` of all feeds together (at least one of each), so it stays bounded.
+    Options: ``state``, ``app_ids``, ``languages``, ``workers`` (tasks), ``requests_per_second`` (of all tasks), ``slots``.
+    """
 
     def __init__(self, options: dict):
         self.options = options
-
-    def _targets(self):
-        for appid in self.options["app_ids"].split(","):
-            for language in self.options.get("languages", "korean,english").split(","):
-                yield int(appid), language
+        self.notes = Notes(options["state"])
+        self.targets = [(int(a), lang) for a in options["app_ids"].split(",") for lang in options.get("languages", "korean,english").split(",")]
 
     def initialOffset(self):
-        return {f"{a}/{lang}": ["*", 0] for a, lang in self._targets()}
-
-    def _pages(self, at: list, appid: int, language: str):
-        """(rows, offset behind them) of each page behind an offset; a cursor that stays where it is ends the feed."""
-        cursor, page = at[:2]
-        if len(at) > 2:
-            return
-        for rows, after in _api(self.options).review_pages(appid, language, cursor):
-            page += 1
-            at = [after, page, "end"] if after == cursor else [after, page]
-            cursor = after
-            yield [(appid, language, json.dumps(r), page, after) for r in rows], at
-
-    def read(self, start):
-        out, after = [], dict(start)
+        return {"batch": 0}
+
+    def latestOffset(self):
+        """One batch further: feeds may have new pages at any time."""
+        return {"batch": self.notes.last_batch() + 1}
+
+    def partitions(self, start, end):
+        n = max(1, min(int(self.options.get("workers", "8")), len(self.targets)))
         pages = int(self.options.get("pages_per_batch", "50"))
-        for appid, language in self._targets():
-            for i, (rows, at) in enumerate(self._pages(start[f"{appid}/{language}"], appid, language)):
-                out += rows
-                after[f"{appid}/{language}"] = at
-                if i + 1 >= pages:
-                    break
-        return iter(out), after
-
-    def readBetweenOffsets(self, start, end):
-        for appid, language in self._targets():
-            first, stop = start[f"{appid}/{language}"], end[f"{appid}/{language}"]
-            if first[1] >= stop[1]:
-                continue
-            for rows, at in self._pages(first, appid, language):
-                yield from rows
-                if at[1] >= stop[1]:
+        if "pages_in_all" in self.options:
+            pages = max(1, min(pages, int(self.options["pages_in_all"]) // len(self.targets)))
+        at = self.notes.read(start["batch"])
+        return [FeedBatch([(a, lang, at.get(f"{a}/{lang}", ["*", 0])) for a, lang in self.targets[i::n]], pages, end["batch"], i, n) for i in range(n)]
+
+    def read(self, partition):
+        api = _api(self.options, _bucket(self.options, "reviews", partition.of))
+        before, reached = self.notes.read(partition.batch), {}
+        for appid, language, at in partition.feeds:
+            key = f"{appid}/{language}"
+            cursor, page = at[:2]
+            left = before[key][1] - page if key in before else 0 if at[2:] == ["end"] else partition.pages
+            state = at[2:] if not left else ["idle"]
+            for rows, after in api.review_pages(appid, language, cursor) if left else ():
+                page += 1
+                state = ["end"] if after == cursor else []
+                cursor = after
+                for r in rows:
+                    yield appid, language, json.dumps(r), page, after
+                left -= 1
+                if not left:
                     break
+            reached[key] = before.get(key) or [cursor, page, *(state if not left or state == ["end"] else ["idle"])]
+        self.notes.write(partition.batch, partition.number, reached)
+
+    def commit(self, end):
+        """Notes of batches before the one that was committed are no longer asked for."""
+        self.notes.forget(end["batch"])
+
+
+class Notes:
+    """Where feeds stand behind each batch: one small object for each task, on any store that pyarrow opens. An object appears whole."""
+
+    def __init__(self, root: str):
+        from pyarrow import fs
+
+        self.fs, self.root = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
+    def _list(self, folder: str) -> list:
+        from pyarrow import fs
+
+        return sorted(self.fs.get_file_info(fs.FileSelector(folder, allow_not_found=True)), key=lambda f: f.base_name)
+
+    def batches(self) -> list[int]:
+        return [int(f.base_name) for f in self._list(self.root) if f.base_name.isdigit()]
+
+    def last_batch(self) -> int:
+        return max([0, *self.batches()])
+
+    def read(self, batch: int) -> dict[str, list]:
+        """By ``appid/language``; a feed without a note starts anew."""
+        out = {}
+        for f in self._list(f"{self.root}/{batch:09d}"):
+            if f.base_name.endswith(".json"):
+                with self.fs.open_input_stream(f.path) as note:
+                    out |= json.loads(note.read())
+        return out
+
+    def write(self, batch: int, number: int, reached: dict[str, list]) -> None:
+        name = f"{self.root}/{batch:09d}/{number}.json"
+        self.fs.create_dir(f"{self.root}/{batch:09d}", recursive=True)
+        part = f"{name}.{os.getpid()}-{time.monotonic_ns()}.part"
+        with self.fs.open_output_stream(part) as f:
+            f.write(json.dumps(reached).encode())
+        self.fs.move(part, name)
+
+    def forget(self, batch: int) -> None:
+        for b in self.batches():
+            if b < batch:
+                self.fs.delete_dir(f"{self.root}/{b:09d}")
 
 
 class StoreFeedSource(DataSource):
@@ -274,5 +380,5 @@ class StoreFeedSource(DataSource):
     def reader(self, schema):
         return StoreFeedReader(dict(self.options))
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return ReviewStream(dict(self.options))
