@@ -60,15 +60,11 @@ class Files:
         """Names in a folder, in order; none if it isn't there."""
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path(folder))) if self.exists(folder) else []
 
-    def leaves(self, folder: str) -> list[str]:
-        """Folders below that hold data files, relative to it."""
-        found, top = set(), self.fs.makeQualified(self.path(folder)).toString()
-        files = self.fs.listFiles(self.path(folder), True)
-        while files.hasNext():
-            p = files.next().getPath()
-            if not p.getName().startswith(("_", ".")):
-                found.add(p.getParent().toString().removeprefix(top).lstrip("/"))
-        return sorted(found)
+    def leaves(self, folder: str, depth: int) -> list[str]:
+        """Folders so many levels below, relative to it."""
+        found = self.fs.globStatus(self.path(folder + "/*" * depth))
+        names = ["/".join(s.getPath().toString().rsplit("/", depth)[1:]) for s in found]
+        return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 class Journal:
@@ -137,7 +133,7 @@ class Change:
         ``rebalance`` brings a partition's rows together without pinning a large one to one task."""
         by, staged = list(by), self.folder(f"parts-{uuid.uuid4().hex[:8]}")
         df.hint("rebalance", *by).write.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(staged)
-        new = self.journal.files.leaves(staged)
+        new = self.journal.files.leaves(staged, len(by))
         for leaf in new:
             self.move(f"{staged}/{leaf}", f"{path}/{leaf}")
         self.drops += [f"{path}/{leaf}" for leaf in sorted(set(dropped) - set(new))]

@@ -114,7 +114,11 @@ class Storefront:
     def load_reviews(self, run_date: date) -> None:
         """The day's chunks into the lake; which of them were loaded before makes no difference."""
         feed = silver.require_rows(read_bronze_parquet(self.spark, f"{self.bronze}/reviews/{run_date:%Y%m%d}", S.REVIEWS), "reviews")
-        dated, undated = silver.split_undated(silver.clean_reviews(feed.drop("_file")))
+        self.add_reviews(feed.drop("_file"))
+
+    def add_reviews(self, reviews: DataFrame) -> None:
+        """Reviews as the feed brings them into the lake, those without a time or a game into quarantine: one change."""
+        dated, undated = silver.split_undated(silver.clean_reviews(reviews))
         if self.exists("reviews") and not self.lake.index.generations():
             change = self.journal.begin()
             self.lake.build_index(change)
@@ -163,7 +167,7 @@ class Storefront:
         # What a touched group's other partitions hold was counted before.
         groups = sorted({f.split("/year=")[0] for f in folders})
         files = self.journal.files
-        paths = [f"{counts}/{g}/{leaf}" for g in groups if files.exists(f"{counts}/{g}") for leaf in files.leaves(f"{counts}/{g}") if f"{g}/{leaf}" not in set(folders)]
+        paths = [f"{counts}/{g}/{leaf}" for g in groups if files.exists(f"{counts}/{g}") for leaf in files.leaves(f"{counts}/{g}", 2) if f"{g}/{leaf}" not in set(folders)]
         kinds = f"token STRING, frequency BIGINT, review_appearances BIGINT, first_at TIMESTAMP, last_at TIMESTAMP, {ReviewLake.PARTS}"
         kept = self.spark.read.schema(kinds).option("basePath", counts).parquet(*paths) if paths else self.spark.createDataFrame([], kinds)
         fresh = gold.merged_tokens(self.spark.read.schema(kinds).parquet(new).unionByName(kept), top_n).withColumns({"game": F.col("app_id"), "lang": F.col("language")})

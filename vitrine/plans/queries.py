@@ -7,13 +7,17 @@ Stand-ins: ``events`` is a time series of games (user_id) with snapshots (ts, va
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ENGLISH_STOPWORDS, english_tokens, epoch_to_timestamp, first_or_null, joined_names, normalize_language, release_date, safe_int
 from ..operators import active_semi_join, baseline_avg, conditional_sums, insert_only, keyed_update, latest_per_key, ordered_string_agg, replace_groups, top_n_per_group, union_by_name, upsert, weighted_mean
-from . import gold, marts, silver
+from ..schemas import REVIEWS
+from ..session import scratch_root
+from . import bronze, gold, marts, silver
+from .pipeline import Storefront
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -396,3 +400,154 @@ def struct_unnest(spark, d):
 def cursor_lookup(spark, d):
     cursors = F.create_map(F.lit("korean"), F.col("event_type"))
     return table(spark, d, "events").select("event_id", F.coalesce(F.try_element_at(cursors, F.lit("english")), F.lit("*")).alias("missing"), F.coalesce(F.try_element_at(cursors, F.lit("korean")), F.lit("*")).alias("found"))
+
+
+# ---- loads that change only what they touch
+
+#: Events as versions of reviews: two in a row of a region are one review, whose second version may have another language or day.
+VERSIONS_SQL = """v as (select n_regionkey app_id, event_type "language", ts, event_id, value, (row_number() over (partition by n_regionkey order by event_id) - 1) k
+    from events join customer on user_id = c_custkey join nation on n_nationkey = c_nationkey),
+  l as (select *, row_number() over (partition by app_id, k // 2 order by event_id desc) rn from v),
+  r as (select * from l where rn = 1 and app_id <> 0)"""
+
+
+def _two_loads(spark: SparkSession, d: str) -> Storefront:
+    """A shop whose lake took first versions and then second ones, with facts counted after each load; region 0 is no active game."""
+    w = Window.partitionBy("n_regionkey").orderBy("event_id")
+    v = table(spark, d, "events").join(table(spark, d, "customer"), F.col("user_id") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).withColumn("k", F.row_number().over(w) - 1)
+    minutes = F.floor("value").cast("int")
+    given = {
+        "recommendationid": F.floor(F.col("k") / 2).cast("string"), "language": F.col("event_type"), "timestamp_created": F.unix_timestamp(F.col("ts").cast("timestamp")), "timestamp_updated": F.col("event_id"),
+        "author": F.struct(*[(minutes if f.startswith("playtime") else F.lit(None)).alias(f) for f in silver.AUTHOR_FIELDS]), "appid": F.col("n_regionkey"), "review": F.lit(""),
+    }
+    kinds = spark.createDataFrame([], REVIEWS).schema
+    rows = v.select("k", *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+    root = scratch_root(spark, "shop")
+    shop = Storefront(spark, f"{root}/bronze", f"{root}/warehouse", index_buckets=8)
+    games = table(spark, d, "region").select(F.col("r_regionkey").alias("appid"), *[F.lit(None).cast("date").alias(c) for c in ("first_seen", "last_discounted")], (F.col("r_regionkey") != 0).alias("is_active"), F.lit(True).alias("collect_reviews"), F.lit(True).alias("collect_players"), F.lit(None).cast("timestamp").alias("reviews_collected_at"), F.create_map().cast("map<string,string>").alias("review_cursors"))
+    shop.save("tracked_games", games)
+    for part in (0, 1):
+        shop.add_reviews(rows.where(F.col("k") % 2 == part).drop("k"))
+        shop.load_review_facts()
+    return shop
+
+
+@query(f"""with {VERSIONS_SQL} select app_id, "language", cast(ts as date) review_date, cast((200 * sum(cast(floor(value) as bigint)) + count(*)) // (2 * count(*)) as bigint) avg_cents,
+    cast(count(*) as int) review_count, cast(count(*) as int) reviews_with_time from r group by 1, 2, 3""")
+def incremental_review_facts(spark, d):
+    """Both daily facts behind two loads, of which the second moves reviews: counted as one load of the last versions would be."""
+    shop = _two_loads(spark, d)
+    counts = shop.table("fact_review_daily").drop("updated_at")
+    played = shop.table("fact_review_playtime_daily").select("app_id", "language", "review_date", (F.col("avg_playtime_at_review") * 100).cast("long").alias("avg_cents"), F.col("review_count").alias("reviews_with_time"))
+    return counts.join(played, ["app_id", "language", "review_date"], "full_outer")
+
+
+@query(f"""with {VERSIONS_SQL} select app_id, k // 2 review, "language", year(ts) "year", month(ts) "month", event_id from l where rn = 1""")
+def lake_last_versions(spark, d):
+    """All rows of the lake behind both loads, with the partitions that they lie in."""
+    rows = _two_loads(spark, d).lake.rows()
+    return rows.select(F.col("appid").alias("app_id"), F.col("recommendationid").cast("long").alias("review"), "language", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"), F.unix_seconds("timestamp_updated").alias("event_id"))
+
+
+@query("""select l_partkey app_id, cast(l_shipdate as date) collected_at, cast(round(l_discount * 100) as int) discount_percent, l_orderkey, l_linenumber
+  from (select *, row_number() over (partition by l_partkey, cast(l_shipdate as date) order by l_linenumber desc, l_orderkey desc) rn from lineitem) where rn = 1""")
+def merge_by_day(spark, d):
+    """Line items by number, one load after the other, each merged into the days that it touches."""
+    from ..operators.journal import Journal
+
+    items = table(spark, d, "lineitem").select(F.col("l_partkey").alias("app_id"), F.to_date("l_shipdate").alias("collected_at"), F.round(F.col("l_discount") * 100).cast("int").alias("discount_percent"), "l_orderkey", "l_linenumber")
+    keys, values = ["app_id", "collected_at"], ["discount_percent", "l_orderkey", "l_linenumber"]
+    root = scratch_root(spark, "prices")
+    journal, path = Journal(spark, root), f"{root}/prices"
+    kinds = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in items.schema)}, day string"
+    month = F.date_format("collected_at", "yyyy-MM").alias("day")
+    for half in (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3):
+        rows = items.where(half)
+        change, days = journal.begin(), [r["day"] for r in rows.select(month).distinct().collect()]
+        old = spark.read.schema(kinds).parquet(path).where(F.col("day").isin(days)).drop("day") if journal.files.exists(path) else items.limit(0)
+        change.replace_partitions(upsert(old, rows, keys, values, order=["l_linenumber", "l_orderkey"]).withColumn("day", month), path, ["day"])
+        change.commit()
+    return spark.read.schema(kinds).parquet(path).drop("day")
+
+
+@query(f"""with w as (select doc_id, source, unnest(regexp_extract_all(lower(text), '[a-zA-Z]+')) token from documents where lang = 'en'),
+  k as (select * from w where length(token) between 3 and 100 and token not in ({STOP_SQL})),
+  c as (select cast(substr(source, 4) as int) app_id, token morpheme, cast(count(*) as int) frequency, cast(count(distinct doc_id) as int) review_appearances from k group by 1, 2)
+  select * from (select *, row_number() over (partition by app_id order by frequency desc, morpheme) rn from c) where rn <= 100""")
+def incremental_tokens(spark, d):
+    """Documents as reviews of two loads, each of which counts the tokens of the partitions that it touches."""
+    docs = table(spark, d, "documents").where("lang = 'en'").select(F.expr("cast(substr(source, 4) as int)").alias("appid"), F.lit("english").alias("language"), F.col("doc_id").cast("string").alias("recommendationid"), F.col("text").alias("review"), F.lit(86400).cast("long").alias("timestamp_created"), F.lit(0).cast("long").alias("timestamp_updated"), "doc_id")
+    kinds = spark.createDataFrame([], REVIEWS).schema
+    rows = docs.select("doc_id", *[(F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+    half = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0]
+    root = scratch_root(spark, "tokens")
+    shop = Storefront(spark, f"{root}/bronze", f"{root}/warehouse", index_buckets=8)
+    shop.save("tracked_games", silver.merge_tracked(shop.table("tracked_games"), docs.select("appid").distinct(), date(2025, 1, 1)))
+    for load in (F.col("doc_id") <= half, F.col("doc_id") > half):
+        shop.add_reviews(rows.where(load).drop("doc_id"))
+        shop.load_tokens(100)
+    top = shop.table("gold_review_morphemes")
+    numbered = F.row_number().over(Window.partitionBy("app_id").orderBy(F.desc("frequency"), "morpheme")).cast("long").alias("rn")
+    return top.select("app_id", "morpheme", "frequency", "review_appearances", numbered)
+
+
+PLAYED_SQL = """d as (select user_id app_id, event_type "language", cast(ts as date) review_date, cast(count(*) as bigint) n,
+    cast((200 * sum(cast(floor(value) as bigint)) + count(*)) // (2 * count(*)) as bigint) cents from events group by 1, 2, 3)"""
+
+
+def _played(spark, d):
+    minutes = F.floor("value").cast("int")
+    lake = table(spark, d, "events").select(F.col("user_id").alias("appid"), F.col("event_type").alias("language"), F.col("ts").alias("timestamp_created"), minutes.alias("author_playtime_at_review"), (2 * minutes).alias("author_playtime_forever"))
+    return silver.review_playtime_daily(lake)
+
+
+@query(f"""with {PLAYED_SQL} select app_id, "language", review_date, cents avg_cents, n review_count from d""")
+def playtime_daily_minutes(spark, d):
+    return _played(spark, d).select("app_id", "language", "review_date", (F.col("avg_playtime_at_review") * 100).cast("long").alias("avg_cents"), F.col("review_count").cast("long").alias("review_count"))
+
+
+@query(f"""with {PRICE_SQL}, {PLAYED_SQL}, r as (select app_id, review_date "date", cast(sum(n) as bigint) total_review_count,
+    cast((2 * sum(n * cents) + sum(n)) // (2 * sum(n)) as bigint) min_cents from d group by 1, 2)
+  select r.app_id, game_name, "date", min_cents, total_review_count, coalesce(is_discounted, false) is_discounted, coalesce(discount_percent, 0) discount_percent,
+    case when coalesce(is_discounted, false) then 'discount' else 'normal' end ab_group
+  from r left join p on r.app_id = p.app_id and "date" = price_date left join g on r.app_id = c_custkey""")
+def playtime_trend_minutes(spark, d):
+    """The playtime mart itself over whole minutes; its baseline is compared in ``discount_playtime_trend``."""
+    prices = _prices(spark, d).withColumns({"initial_price": F.lit(None).cast("int"), "final_price": F.lit(None).cast("int"), "discount_end_at": F.lit(None).cast("timestamp")})
+    out = marts.mart_discount_playtime_trend(_played(spark, d), prices, _games(spark, d))
+    return out.select("app_id", "game_name", "date", (F.col("avg_playtime_at_review_min") * 100).cast("long").alias("min_cents"), "total_review_count", "is_discounted", "discount_percent", "ab_group")
+
+
+@query("""select c_custkey appid, cast(max(o_orderdate) as date) last_discounted from customer left join orders on c_custkey = o_custkey
+  where c_acctbal > 0 and c_mktsegment <> 'MACHINERY' group by 1 order by 2 desc nulls first, 1 limit 50""")
+def crawl_targets(spark, d):
+    """The games that a crawl would take: customers with both flags, the last discounted ones first; the limit is the feature."""
+    last = table(spark, d, "orders").groupBy("o_custkey").agg(F.to_date(F.max("o_orderdate")).alias("last_discounted"))
+    control = table(spark, d, "customer").join(last, F.col("c_custkey") == F.col("o_custkey"), "left").select(F.col("c_custkey").alias("appid"), "last_discounted", (F.col("c_acctbal") > 0).alias("is_active"), (F.col("c_mktsegment") != "MACHINERY").alias("collect_reviews"))
+    return bronze.crawl_targets(control, "collect_reviews", limit=50).select("appid", "last_discounted")
+
+
+@query("""with c as (select user_id, event_type, max(event_id) id from events group by 1, 2)
+  select c_custkey appid, event_type "language", coalesce(cast(id as varchar), 'start') "cursor" from customer cross join (select distinct event_type from events) left join c using (event_type)
+  where user_id = c_custkey union all select c_custkey, 'none', 'start' from customer""")
+def cursors_kept(spark, d):
+    """The control table's cursors behind two crawls, looked up by language."""
+    events = table(spark, d, "events").select(F.col("user_id").alias("appid"), F.col("event_type").alias("language"), "event_id")
+    tracked = silver.merge_tracked(spark.createDataFrame([], "appid long, first_seen date, last_discounted date, is_active boolean, collect_reviews boolean, collect_players boolean, reviews_collected_at timestamp, review_cursors map<string,string>"), table(spark, d, "customer").select(F.col("c_custkey").alias("appid")), date(2025, 1, 1))
+    for crawl in (F.col("language").isin("view", "click"), F.lit(True)):
+        tracked = silver.merge_cursors(tracked, events.where(crawl).groupBy("appid", "language").agg(F.max("event_id").cast("string").alias("cursor")))
+    found = tracked.select("appid", F.explode(F.map_concat("review_cursors", F.create_map(F.lit("none"), F.lit("start")))).alias("language", "cursor"))
+    return found.select("appid", "language", "cursor")
+
+
+@query("""select user_id "key", cast(ts as date) "day", cast(count(*) as bigint) n from events group by 1, 2""")
+def daily_with_corrections(spark, d):
+    """Events in the order of their values, so most come late: days that were closed, corrections of them and open days add up to the whole count."""
+    from ..streaming.corrections import DailyCounts
+
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = DailyCounts(spark, scratch_root(spark, "daily"), "user_id", "ts", 5)
+    low, high = events.agg(F.percentile_approx("value", [0.33, 0.67])).first()[0]
+    for batch, rows in enumerate((F.col("value") <= low, (F.col("value") > low) & (F.col("value") <= high), (F.col("value") > high) | F.col("value").isNull())):
+        counts(events.where(rows), batch)
+    return counts.totals()

@@ -41,3 +41,17 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(here.parent))
     context.addPyFile(str(archive))
     context._vitrine_shipped = True
+
+
+def scratch_root(spark: SparkSession, name: str) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, which driver and executors share; below a temporary folder only where that is unset and the
+    session is local."""
+    import tempfile
+    import uuid
+
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="vitrine-")
+    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
