@@ -20,6 +20,17 @@ DAY = date(2025, 4, 9)
 AUTHOR = ("s", 60, 30, 0, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def small_plans(spark):
+    """A few rows each time: two partitions, and no code to compile for them."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.codegen.wholeStage")}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
 class Broken(Exception):
     pass
 
@@ -346,3 +357,37 @@ def test_late_rows_are_corrections(spark, tmp_path, monkeypatch):
     closed, late = counts.closed().collect(), counts.corrections().collect()
     assert closed and late and {r["day"] for r in late} <= {date(2025, 1, d) for d in range(1, 11)}
     assert not {r["day"] for r in closed} & {r["day"] for r in counts.open().collect()}
+
+
+def test_trends_are_refreshed_where_they_change(spark, tmp_path):
+    """Random changes of player counts and prices, with gaps between a game's days: the mart equals one that is built whole, and few days are read."""
+    from vitrine.plans import marts, staging
+
+    rng = random.Random(11)
+    shop = Storefront(spark, str(tmp_path / "bronze"), str(tmp_path / "wh"), index_buckets=4)
+    games = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "app_id int, name string")
+    day = lambda i: date.fromordinal(date(2025, 1, 1).toordinal() + i)
+    all_days = [(app, i) for app, step in ((1, 1), (2, 4), (3, 1)) for i in range(0, 90, step)]
+
+    def load(rows, prices=()):
+        change = shop.journal.begin()
+        counts = spark.createDataFrame([(app, n, f"{day(i)}T08:00:00+00:00") for app, i, n in rows], S.PLAYER_COUNTS)
+        shop.merge_days(change, "fact_concurrent_players", silver.player_rows(counts), silver.merge_player_rows)
+        if prices:
+            shop.merge_days(change, "fact_price_history", spark.createDataFrame([(app, "KRW", 2, 1, pct, False, None, day(i)) for app, i, pct in prices], S.FACT_PRICE), silver.merge_prices)
+        change.commit()
+        s = shop.staged()
+        read = shop.refresh_trend("mart_discount_player_trend", s["stg_price_history"], games)
+        got = spark.read.parquet(shop.path("mart_discount_player_trend")).drop("day")
+        want = marts.mart_discount_player_trend(staging.stg_concurrent_players(shop.table("fact_concurrent_players")), s["stg_price_history"], games)
+        assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+        return read
+
+    assert len(load([(app, i, rng.randrange(100)) for app, i in all_days if i != 50])) > 80
+    assert len(load([(1, 60, 500)])) <= 1 + 2 * 7 + 1
+    assert load([(3, 50, 5), (1, 50, 7)], [(1, 50, 30), (2, 48, 10)])
+    before = {p.parent.name: p.name for p in (tmp_path / "wh/mart_discount_player_trend").rglob("*.parquet")}
+    assert load([(2, 20, 77)], [(2, 21, 40)])  # this game's rows lie four days apart
+    after = {p.parent.name: p.name for p in (tmp_path / "wh/mart_discount_player_trend").rglob("*.parquet")}
+    changed = {k for k in after if before.get(k) != after[k]}
+    assert changed == {f"day={day(i)}" for i in (*range(20, 52, 4), 21)} - {f"day={day(52)}"} and len(changed) <= 10

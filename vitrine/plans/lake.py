@@ -198,29 +198,31 @@ class ReviewLake:
         return self.rows(paths).select(*silver.LAKE_PARTS).distinct() if paths else self.spark.createDataFrame([], self.PARTS)
 
 
-def changed_days(old: DataFrame, new: DataFrame, keys: list[str], measures: list[str], day: str) -> list[str]:
-    """Days on which rows differ; the calendar bounds them."""
+def changed_rows(old: DataFrame, new: DataFrame, keys: list[str], measures: list[str], day: str) -> DataFrame:
+    """``app_id, day`` of rows that differ."""
     o = old.select(*keys, F.struct(*measures).alias("__o"))
     n = new.select(*keys, F.struct(*measures).alias("__n"))
     on = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
     both = o.alias("o").join(n.alias("n"), on, "full_outer").where(~F.col("__o").eqNullSafe(F.col("__n")))
-    days = both.select(F.coalesce(f"o.{day}", f"n.{day}").cast("string").alias("d")).where("d is not null").distinct()
-    return sorted(r["d"] for r in days.collect())
+    return both.select(F.coalesce("o.app_id", "n.app_id").alias("app_id"), F.coalesce(f"o.{day}", f"n.{day}").cast("string").alias("day")).where("day is not null").distinct()
 
 
-def replace_days(change: Change, path: str, fact: DataFrame, fresh: DataFrame, parts: DataFrame, keys: list[str], day: str) -> list[str]:
+def replace_days(change: Change, path: str, fact: DataFrame, fresh: DataFrame, parts: DataFrame, keys: list[str], day: str) -> DataFrame | None:
     """Stages a fact table, partitioned by ``day``, in which the rows of the lake's partitions ``parts`` are those of ``fresh``. Only days on which that
-    changes anything are replaced, and rows that stay as they were keep their time of update. Returns the days."""
+    changes anything are replaced, and rows that stay as they were keep their time of update. Returns ``app_id, day`` of what changed."""
     months = sorted({f"{r['year']}-{r['month']:02d}" for r in parts.select("year", "month").distinct().collect()})
     if not months:
-        return []
+        return None
     measures = [c for c in fresh.columns if c not in (*keys, "updated_at")]
     near = fact.where(F.substring("day", 1, 7).isin(months))
     p = parts.select(*[F.col(c).alias(f"__{c}") for c in silver.LAKE_PARTS])
     inside = (F.col("app_id") == F.col("__appid")) & F.col("language").eqNullSafe(F.col("__language")) & (F.year(day) == F.col("__year")) & (F.month(day) == F.col("__month"))
-    days = changed_days(near.join(p, inside, "left_semi"), fresh, keys, measures, day)
+    staged = change.folder(f"changed-{uuid.uuid4().hex[:8]}")
+    changed_rows(near.join(p, inside, "left_semi"), fresh, keys, measures, day).write.parquet(staged)
+    changed = fact.sparkSession.read.parquet(staged)
+    days = sorted(r["day"] for r in changed.select("day").distinct().collect())  # the calendar bounds them
     if not days:
-        return []
+        return None
     mine = near.where(F.col("day").isin(days))
     old = mine.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*measures).alias("__was"), F.col("updated_at").alias("__at"))
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
@@ -229,5 +231,5 @@ def replace_days(change: Change, path: str, fact: DataFrame, fresh: DataFrame, p
     renewed = renewed.select(*keys, *measures, F.when(stay, F.col("__at")).otherwise(F.col("updated_at")).alias("updated_at"), F.col(day).cast("string").alias("day"))
     rows = mine.join(p, inside, "left_anti").select(*renewed.columns).unionByName(renewed)
     change.replace_partitions(rows, path, ["day"], dropped=[f"day={d}" for d in days])
-    return days
+    return changed
 

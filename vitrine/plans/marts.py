@@ -7,6 +7,9 @@ the trailing window.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,37 +83,80 @@ def mart_discount_analysis(prices: DataFrame, games: DataFrame) -> DataFrame:
     )
 
 
-def mart_discount_player_trend(players: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
-    daily = mart_player_daily_avg(players).select("app_id", "snapshot_date", "avg_concurrent", "max_concurrent", baseline_avg("avg_concurrent", "app_id", "snapshot_date").alias("baseline_7d_avg"))
-    return _with_prices(daily, "snapshot_date", prices, games, "initial_price", "final_price", "discount_end_at").select(
-        "app_id", "game_name", F.col("snapshot_date").alias("date"), "avg_concurrent", "max_concurrent", _percent().alias("discount_percent"),
+@dataclass(frozen=True)
+class Trend:
+    """A mart of daily rows beside the day's price with a trailing baseline, in three parts: so it can be built whole, or only where something changed.
+
+    ``daily`` gives rows by ``app_id, date`` from the facts, each from rows of its own day alone; ``value`` is averaged over the rows before, as
+    ``baseline``; ``finish`` adds prices and names."""
+
+    daily: Callable[[DataFrame], DataFrame]
+    value: str
+    baseline: str
+    finish: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+
+    def with_baseline(self, daily: DataFrame) -> DataFrame:
+        return daily.withColumn(self.baseline, baseline_avg(self.value, "app_id", "date"))
+
+    def whole(self, facts: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+        return self.finish(self.with_baseline(self.daily(facts)), prices, games)
+
+
+def _player_days(players: DataFrame) -> DataFrame:
+    return mart_player_daily_avg(players).select("app_id", F.col("snapshot_date").alias("date"), "avg_concurrent", "max_concurrent")
+
+
+def _player_trend(daily: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+    return _with_prices(daily, "date", prices, games, "initial_price", "final_price", "discount_end_at").select(
+        "app_id", "game_name", "date", "avg_concurrent", "max_concurrent", _percent().alias("discount_percent"),
         _discounted().alias("is_discounted"), "initial_price", "final_price", "discount_end_at", "baseline_7d_avg",
     )
 
 
-def mart_discount_review_trend(reviews: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
-    daily = reviews.groupBy("app_id", "review_date").agg(
+def _review_days(reviews: DataFrame) -> DataFrame:
+    return reviews.groupBy("app_id", F.col("review_date").alias("date")).agg(
         F.sum("review_count").alias("total_review_count"), *conditional_sums("review_count", "language", {"korean": "korean_review_count", "english": "english_review_count"})
     )
-    daily = daily.withColumn("baseline_7d_avg", baseline_avg("total_review_count", "app_id", "review_date"))
-    return _with_prices(daily, "review_date", prices, games, "initial_price", "final_price", "discount_end_at").select(
-        "app_id", "game_name", F.col("review_date").alias("date"), "total_review_count", "korean_review_count", "english_review_count",
+
+
+def _review_trend(daily: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+    return _with_prices(daily, "date", prices, games, "initial_price", "final_price", "discount_end_at").select(
+        "app_id", "game_name", "date", "total_review_count", "korean_review_count", "english_review_count",
         _discounted().alias("is_discounted"), _percent().alias("discount_percent"), "initial_price", "final_price", "discount_end_at",
         _ab_group().alias("ab_group"), "baseline_7d_avg",
     )
 
 
-def mart_discount_playtime_trend(playtime: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
-    daily = playtime.groupBy("app_id", "review_date").agg(
+def _playtime_days(playtime: DataFrame) -> DataFrame:
+    return playtime.groupBy("app_id", F.col("review_date").alias("date")).agg(
         F.sum("review_count").alias("total_review_count"),
         weighted_mean("avg_playtime_at_review", "review_count").alias("at_review"),
         weighted_mean("avg_playtime_forever", "review_count").alias("forever"),
     )
-    daily = daily.withColumn("baseline_7d_avg_playtime", baseline_avg("at_review", "app_id", "review_date"))
+
+
+def _playtime_trend(daily: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
     hours = lambda c: F.round(F.col(c) / 60, 2)
-    return _with_prices(daily, "review_date", prices, games).select(
-        "app_id", "game_name", F.col("review_date").alias("date"), F.round("at_review", 2).alias("avg_playtime_at_review_min"),
+    return _with_prices(daily, "date", prices, games).select(
+        "app_id", "game_name", "date", F.round("at_review", 2).alias("avg_playtime_at_review_min"),
         F.round("forever", 2).alias("avg_playtime_forever_min"), hours("at_review").alias("avg_playtime_at_review_hr"),
         hours("forever").alias("avg_playtime_forever_hr"), "total_review_count", _discounted().alias("is_discounted"),
         _percent().alias("discount_percent"), _ab_group().alias("ab_group"), "baseline_7d_avg_playtime",
     )
+
+
+PLAYER_TREND = Trend(_player_days, "avg_concurrent", "baseline_7d_avg", _player_trend)
+REVIEW_TREND = Trend(_review_days, "total_review_count", "baseline_7d_avg", _review_trend)
+PLAYTIME_TREND = Trend(_playtime_days, "at_review", "baseline_7d_avg_playtime", _playtime_trend)
+
+
+def mart_discount_player_trend(players: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+    return PLAYER_TREND.whole(players, prices, games)
+
+
+def mart_discount_review_trend(reviews: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+    return REVIEW_TREND.whole(reviews, prices, games)
+
+
+def mart_discount_playtime_trend(playtime: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
+    return PLAYTIME_TREND.whole(playtime, prices, games)

@@ -5,6 +5,7 @@ The reference schedule is wall-clock only; here the order is explicit, and ``run
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
@@ -19,6 +20,7 @@ from ..operators.journal import Change, Journal
 from ..sources import StoreApi, latest_file_only, read_bronze_json, read_bronze_parquet, replace_table
 from . import bronze, gold, marts, silver, staging
 from .lake import ReviewLake, replace_days
+from .trends import refresh
 
 TABLES = {
     "tracked_games": S.TRACKED_GAMES, "dim_games": S.DIM_GAMES, "dim_genres": S.DIM_GENRES, "dim_game_genres": S.DIM_GAME_GENRES,
@@ -29,6 +31,14 @@ TABLES = {
 #: Tables in partitions, and the columns that name them: facts by the day of a column, tokens by group.
 DAYS = {"fact_concurrent_players": "collected_at", "fact_price_history": "collected_at", "fact_review_daily": "review_date", "fact_review_playtime_daily": "review_date"}
 PARTS = {**dict.fromkeys(DAYS, "day STRING"), "gold_review_morphemes": "game INT, lang STRING"}
+#: Trend marts: their parts, the facts that they come from, and whose days they follow.
+TRENDS = {
+    "mart_discount_player_trend": (marts.PLAYER_TREND, "fact_concurrent_players", staging.stg_concurrent_players),
+    "mart_discount_review_trend": (marts.REVIEW_TREND, "fact_review_daily", staging.stg_review_daily),
+    "mart_discount_playtime_trend": (marts.PLAYTIME_TREND, "fact_review_playtime_daily", staging.stg_review_playtime_daily),
+}
+#: All days of the trend marts have to be built again.
+EVERY = "every"
 DAILY_KEYS = ["app_id", "language", "review_date"]
 
 
@@ -80,6 +90,14 @@ class Storefront:
     def save(self, name: str, df: DataFrame) -> None:
         replace_table(df, self.path(name))
 
+    def touch(self, change: Change, rows: DataFrame, *facts: str) -> None:
+        """Tells the trend marts which facts (``app_id, day``) were changed; prices concern all of them."""
+        for mart, (_, fact, _) in TRENDS.items():
+            if fact in facts or "fact_price_history" in facts:
+                folder = change.folder(f"touched-{uuid.uuid4().hex}")
+                rows.select(F.col("app_id").cast("int").alias("app_id"), "day").write.parquet(folder)
+                change.move(folder, f"{self.root}/days_touched/{mart}/{uuid.uuid4().hex}")
+
     def merge_days(self, change: Change, name: str, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """Stages a fact table in which the days of ``rows`` are merged; other days keep their files."""
         day = F.date_format(DAYS[name], "yyyy-MM-dd")
@@ -87,6 +105,7 @@ class Storefront:
         if days:
             old = self.parted(name).where(F.col("day").isin(days)).drop("day")
             change.replace_partitions(merge(old, rows).withColumn("day", day), self.path(name), ["day"])
+            self.touch(change, rows.select("app_id", day.alias("day")).distinct(), name)
 
     def load_prices(self, run_date: date) -> Note | None:
         feed = latest_file_only(read_bronze_json(self.spark, f"{self.bronze}/discount_games/{run_date:%Y%m%d}", S.DISCOUNT_GAMES))
@@ -107,7 +126,13 @@ class Storefront:
 
     def load_details(self, run_date: date) -> None:
         feed = silver.require_rows(read_bronze_parquet(self.spark, f"{self.bronze}/appdetails/{run_date:%Y%m%d}", S.APP_DETAILS), "app details")
-        self.save("dim_games", silver.merge_games(self.table("dim_games"), feed))
+        before = self.table("dim_games").select(F.col("app_id").alias("__a"), F.col("name").alias("__n"))
+        change = self.journal.begin()
+        games = change.replace(silver.merge_games(self.table("dim_games"), feed), self.path("dim_games"))
+        named = games.join(before, F.col("app_id") == F.col("__a"), "left").where(~F.col("name").eqNullSafe(F.col("__n")))
+        if not named.isEmpty():  # trends show names, on all days
+            self.touch(change, self.spark.createDataFrame([(None, EVERY)], "app_id int, day string"), "fact_price_history")
+        change.commit()
         self.save("dim_genres", silver.merge_genres(self.table("dim_genres"), feed))
         self.save("dim_game_genres", silver.merge_game_genres(self.table("dim_game_genres"), feed))
 
@@ -154,7 +179,9 @@ class Storefront:
         change, parts = self._touched("facts")
         rows = self.lake.rows(self.lake.standing(self.lake.folders(parts)))
         for name, count in (("fact_review_daily", silver.review_daily), ("fact_review_playtime_daily", silver.review_playtime_daily)):
-            replace_days(change, self.path(name), self.parted(name), count(rows), parts, DAILY_KEYS, "review_date")
+            changed = replace_days(change, self.path(name), self.parted(name), count(rows), parts, DAILY_KEYS, "review_date")
+            if changed is not None:
+                self.touch(change, changed, name)
         change.commit()
 
     def load_tokens(self, top_n: int = 1000) -> Note | None:
@@ -196,14 +223,32 @@ class Storefront:
             "mart_game_overview": marts.mart_game_overview(games, prices, self.table("dim_game_genres"), self.table("dim_genres")),
             "mart_player_daily_avg": marts.mart_player_daily_avg(s["stg_concurrent_players"]),
             "mart_discount_analysis": marts.mart_discount_analysis(prices, games),
-            "mart_discount_player_trend": marts.mart_discount_player_trend(s["stg_concurrent_players"], prices, games),
-            "mart_discount_review_trend": marts.mart_discount_review_trend(s["stg_review_daily"], prices, games),
-            "mart_discount_playtime_trend": marts.mart_discount_playtime_trend(s["stg_review_playtime_daily"], prices, games),
         }
         for name, df in out.items():
-            ordered = df.orderBy("app_id", "date") if "date" in df.columns else df
-            ordered.write.mode("overwrite").parquet(self.path(name))
-        return {name: self.spark.read.parquet(self.path(name)) for name in out}
+            df.write.mode("overwrite").parquet(self.path(name))
+        for name in TRENDS:
+            self.refresh_trend(name, prices, games)
+        standing = [*out, *(name for name in TRENDS if self.exists(name))]
+        return {name: self.spark.read.parquet(self.path(name)) for name in standing}
+
+    def refresh_trend(self, name: str, prices: DataFrame, games: DataFrame) -> list[str]:
+        """Builds a trend mart again where facts or prices were changed since the last time; returns the days of facts that were read."""
+        trend, fact, staged = TRENDS[name]
+        change, files = self.journal.begin(), self.journal.files
+        top = f"{self.root}/days_touched/{name}"
+        lists = [f"{top}/{n}" for n in files.names(top)]
+        rows = self.spark.read.schema("app_id INT, day STRING").parquet(*lists).distinct() if lists else self.spark.createDataFrame([], "app_id INT, day STRING")
+        touched = {r["day"] for r in rows.select("day").distinct().collect()}  # the calendar bounds them
+        for path in lists:
+            change.drop(path)
+        days = [n.removeprefix("day=") for n in files.names(self.path(fact)) if n.startswith("day=")]
+        mart = self.spark.read.parquet(self.path(name)).withColumn("day", F.col("day").cast("string")) if self.exists(name) and EVERY not in touched else None
+        if mart is None and self.exists(name):
+            change.drop(self.path(name)) if not days else None
+        facts = lambda some: staged(self.parted(fact).where(F.col("day").isin(some)).drop("day"))
+        read = refresh(change, trend, self.path(name), mart, facts, days, sorted(touched - {EVERY}), rows.select("app_id"), prices, games)
+        change.commit()
+        return read
 
     def crawl(self, run_date: date, api: StoreApi, clock: str | None = None, **options: str) -> Report:
         """Fetches all feeds into bronze: prices first, since they name the games to follow; review cursors go back to the control table.
