@@ -20,17 +20,6 @@ DAY = date(2025, 4, 9)
 AUTHOR = ("s", 60, 30, 0, 1, 1)
 
 
-@pytest.fixture(autouse=True)
-def small_plans(spark):
-    """A few rows each time: two partitions, and no code to compile for them."""
-    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.codegen.wholeStage")}
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
-    yield
-    for k, v in kept.items():
-        spark.conf.set(k, v)
-
-
 class Broken(Exception):
     pass
 
