@@ -199,13 +199,6 @@ def touched_partitions(lake: DataFrame | None, fresh: DataFrame) -> DataFrame:
     return to.union(held.select(*LAKE_PARTS)).distinct()
 
 
-def rows_in(lake: DataFrame, parts: DataFrame) -> DataFrame:
-    """The lake's rows in ``parts``; the game is joined by plain equality, so that partitions are pruned, the language may be null."""
-    p = parts.select(*[F.col(c).alias(f"__{c}") for c in LAKE_PARTS])
-    on = (F.col("appid") == F.col("__appid")) & F.col("language").eqNullSafe(F.col("__language")) & (F.col("year") == F.col("__year")) & (F.col("month") == F.col("__month"))
-    return lake.join(p, on, "left_semi")
-
-
 def review_daily(lake: DataFrame, now: Column | None = None) -> DataFrame:
     day = F.to_date("timestamp_created")
     return (

@@ -1,8 +1,8 @@
 from .bronze import latest_file_only, read_bronze_json, read_bronze_parquet
-from .sinks import drop_review_partitions, replace_table, write_json, write_parquet, write_review_lake, write_text
+from .sinks import replace_table, write_json, write_parquet, write_text
 from .store_feed import StoreApi, StoreFeedSource, http_transport, replay_transport
 
 __all__ = [
-    "StoreApi", "StoreFeedSource", "drop_review_partitions", "http_transport", "latest_file_only", "read_bronze_json", "read_bronze_parquet",
-    "replace_table", "replay_transport", "write_json", "write_parquet", "write_review_lake", "write_text",
+    "StoreApi", "StoreFeedSource", "http_transport", "latest_file_only", "read_bronze_json", "read_bronze_parquet",
+    "replace_table", "replay_transport", "write_json", "write_parquet", "write_text",
 ]

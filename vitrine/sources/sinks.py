@@ -1,9 +1,8 @@
-"""Writers: one object, Parquet with a codec, the partitioned review lake, and whole tables."""
+"""Writers: one object, Parquet with a codec, and whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.upsert import swap_in
 
@@ -41,27 +40,5 @@ def write_parquet(df: DataFrame, path: str, codec: str = "snappy", rows_per_file
     (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(path)
 
 
-def write_review_lake(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Hive layout ``appid=/language=/year=/month=MM``.
-
-    ``rebalance`` groups the rows of a partition without pinning a hot game to one task: AQE splits large
-    partitions and merges small ones, so there are neither tiny files nor stragglers.
-    """
-    cols = ["appid", "language", "year", "month"]
-    laid_out = df.withColumns({"year": F.col("review_year"), "month": F.lpad(F.col("review_month").cast("string"), 2, "0")})
-    rebalanced = laid_out.hint("rebalance", *cols)
-    rebalanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy(*cols).parquet(path)
-
-
-def drop_review_partitions(spark: SparkSession, path: str, parts: DataFrame) -> None:
-    """Deletes the folders of partitions that hold nothing any more."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for r in parts.toLocalIterator():
-        language = "__HIVE_DEFAULT_PARTITION__" if not r["language"] else escape(r["language"])
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/appid={r['appid']}/language={language}/year={r['year']}/month={r['month']:02d}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def replace_table(df: DataFrame, path: str) -> None:
     swap_in(df, path)
