@@ -97,6 +97,19 @@ def test_window_index_of_many():
     assert index.search(index.numbers(b" ".join(reversed(windows[5].split())))) == ([], set())
 
 
+def test_window_of_many_items():
+    """20,000 items share one window: it stands once, so texts of benchmark words pay for no item that they don't have."""
+    shared, other = b"a b c d e f g h i j", b"j i h g f e d c b a"
+    items = [f"i{i}" for i in range(20_000)]
+    index = decontamination.WindowIndex(pa.array([*items, "o", None]), pa.array([*[shared] * 20_000, other, b"a a a"], pa.binary()))
+    assert [(len(hashes), most) for hashes, _, _, most in index.rows.values()] == [(1, 1), (2, 1)]
+    assert index.search(index.numbers(b"x " + other)) == ([(1, 11)], {"o"})
+    assert index.search(index.numbers(b"b a a a")) == ([(1, 4)], set())
+    spans, named = index.search(index.numbers(shared + b" y " + other + b" " + shared))
+    assert sorted(spans) == [(0, 10), (11, 21), (21, 31)] and named == {*items, "o"}
+    assert index.search(index.numbers(b"a b c " * 100)) == ([], set())
+
+
 def test_equal_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(decontamination.WindowIndex, "_hash", staticmethod(lambda ids, starts, n: np.zeros(len(starts), np.uint64)))
     index = decontamination.WindowIndex(pa.array(["a", "b", None]), pa.array([b"p q", b"q p", b"q q"], pa.binary()))
@@ -108,6 +121,8 @@ def test_removal(spark, docs):
     assert {r["text"] for r in docs.collect()} - {r["text"] for r in decontamination.remove_documents(docs, items).collect()} == {"word " * 3000, "  lead  and   trail  "}
     cut = {r["doc_id"]: r["text"] for r in decontamination.remove_spans(docs, items, mark="[-]").collect()}
     assert "  [-]   trail  " in cut.values() and "[-] " in cut.values() and len(cut) == docs.select("doc_id").distinct().count()
+    many = spark.createDataFrame([(1, "lead and x, " * 50_000)], "doc_id bigint, text string")
+    assert decontamination.remove_spans(many, items, mark="-").first()["text"] == "- x, " * 50_000
     assert decontamination.remove_documents(docs, items.limit(0)).count() == docs.count()
     assert decontamination.remove_documents(empty(spark), items).count() == 0
 

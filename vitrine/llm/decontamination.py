@@ -35,7 +35,10 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class WindowIndex:
-    """Windows as rows of word numbers, by length and sorted by a 64-bit hash; a ten-word window takes some 60 bytes."""
+    """Distinct windows as rows of word numbers, by length and sorted by a 64-bit hash, each with a list of its items; a ten-word window takes some 70 bytes.
+
+    A window stands once, however many items share it: a text pays for its items only where the window occurs in it.
+    """
 
     def __init__(self, items: pa.Array, windows: pa.Array):
         """Distinct (item, window) rows, as :func:`item_windows` gives them; items that are null mark words only."""
@@ -43,21 +46,27 @@ class WindowIndex:
         names = items.dictionary_encode()
         self.names: list[str] = names.dictionary.to_pylist()
         owner = names.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        once = windows.dictionary_encode()
+        of = once.indices.to_numpy(zero_copy_only=False)
         numbers, sizes = array("i"), array("i")
-        for w in windows:
+        for w in once.dictionary:
             ids = [self.words.setdefault(x, len(self.words)) for x in w.as_py().split(b" ")]
             numbers.extend(ids)
             sizes.append(len(ids))
         flat, size = np.array(numbers, np.int32), np.array(sizes, np.int32)
         starts = np.cumsum(size, dtype=np.int64) - size
-        #: By length: sorted hashes, word numbers and item of each row, and the most rows of one hash.
+        #: Items of window w: those from first[w] to first[w + 1].
+        of, owner = of[owner >= 0], owner[owner >= 0]
+        self.items = owner[np.argsort(of, kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(size)))])
+        #: By length: sorted hashes, word numbers and window of each row, and the most rows of one hash.
         self.rows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
         for n in np.unique(size).tolist():
             mine = np.flatnonzero(size == n)
             h = self._hash(flat, starts[mine], n)
             order = np.argsort(h, kind="stable")
             _, equal = np.unique(h, return_counts=True)
-            self.rows[n] = h[order], flat[starts[mine][order][:, None] + np.arange(n)], owner[mine][order], int(equal.max())
+            self.rows[n] = h[order], flat[starts[mine][order][:, None] + np.arange(n)], mine[order].astype(np.int32), int(equal.max())
 
     @staticmethod
     def _hash(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -82,11 +91,11 @@ class WindowIndex:
 
     def search(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], set[str]]:
         """(word spans of occurrences, items named) of one text."""
-        spans, items = [], set()
+        spans, found = [], []
         if not len(ids):
-            return spans, items
+            return spans, set()
         strange = np.concatenate(([0], np.cumsum(ids < 0)))
-        for n, (hashes, numbers, owner, most) in self.rows.items():
+        for n, (hashes, numbers, window, most) in self.rows.items():
             if len(ids) < n:
                 continue
             starts = np.flatnonzero(strange[n:] == strange[:-n])
@@ -95,14 +104,19 @@ class WindowIndex:
             h = self._hash(ids, starts, n)
             at = np.searchsorted(hashes, h)
             hit = np.zeros(len(starts), bool)
-            for k in range(most):  # rows of one hash: one window of several items, or windows that collide
+            for k in range(most):  # rows of one hash: windows that collide
                 row = np.minimum(at + k, len(hashes) - 1)
                 same = np.flatnonzero((hashes[row] == h) & (at + k < len(hashes)))
                 same = same[(numbers[row[same]] == ids[starts[same][:, None] + np.arange(n)]).all(1)]
                 hit[same] = True
-                items.update(self.names[i] for i in np.unique(owner[row[same]]).tolist() if i >= 0)
+                found.append(np.unique(window[row[same]]))
             spans += [(s, s + n) for s in starts[hit].tolist()]
-        return spans, items
+        if not spans:
+            return spans, set()
+        named, found = np.zeros(len(self.names), bool), np.concatenate(found)
+        for a, b in zip(self.first[found].tolist(), self.first[found + 1].tolist()):
+            named[self.items[a:b]] = True
+        return spans, {self.names[i] for i in np.flatnonzero(named).tolist()}
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -205,8 +219,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", mark
             for t, o in zip(texts.to_pylist(), found.to_pylist()):
                 if t and o["spans"]:
                     at = [(m.start(), m.end()) for m in word.finditer(t)]
-                    for s in reversed(o["spans"]):
-                        t = t[: at[s["first"]][0]] + mark + t[at[s["end"] - 1][1] :]
+                    parts, last = [], 0
+                    for s in o["spans"]:
+                        parts += [t[last : at[s["first"]][0]], mark]
+                        last = at[s["end"] - 1][1]
+                    t = "".join([*parts, t[last:]])
                 out.append(t)
             return [pa.array(out, pa.string())]
 
