@@ -35,6 +35,8 @@ MEETS = 4
 SIMILAR = (4, 5)
 #: Texts of the sample that finds common shingles (at least; or a fiftieth of all), and how many of them have a common one.
 SAMPLE, OFTEN = 4096, 8
+#: The most common shingles whose order is known to every task, 512 KB at any size of the corpus; others are ordered by hash.
+COMMON = 1 << 16
 #: More hashes than this are joined by a shuffle.
 MOST_HASHES = 4_000_000
 
@@ -225,7 +227,7 @@ def links(fps: DataFrame, t: int = 4, fp: str = "fp", bucket: int = BUCKET) -> D
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) for every node of an edge, by alternating stars; the root is the smallest node.
 
-    A star's centre with very many leaves is summed up before the shuffle, and its join partition is split by AQE.
+    A star's centre with very many leaves is summed up before the shuffle; its leaves meet in one task of the join behind it, as AQE doesn't split a join over an aggregate.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     state = None
@@ -333,7 +335,7 @@ def _prefix(s: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _common_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """Shingles of ``OFTEN`` sampled texts. They only set the order of shingles, which may be any: no pair depends on the sample."""
+    """At most ``COMMON`` shingles, those of most sampled texts (``OFTEN`` or more). They only set the order of shingles, which may be any: no pair depends on them."""
     share = max(1 / 50, SAMPLE / max(docs.count(), 1))
     narrow = docs.select(F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
     some = narrow.where((F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53) < share) & F.col("text").isNotNull())
@@ -345,7 +347,7 @@ def _common_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
         return f
 
     once = scan(some, ["text"], "grams array<bigint>", make, ["h"]).dropDuplicates(["h"])
-    often = once.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).select("g")
+    often = once.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "g").limit(COMMON).select("g")
     return np.sort(np.array([r["g"] for r in often.collect()], np.int64).view(np.uint64))
 
 
