@@ -21,6 +21,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,8 +109,11 @@ def _kmeans(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = 600, clusters: int = 3, margin: float = 0.5) -> Centroids | None:
-    """Centroids from rows where ``trains`` holds; at most ``per_language`` documents of each language are read to the driver,
-    as sparse counts. The first pass reads ids and languages only."""
+    """Centroids from rows where ``trains`` holds, of at most ``per_language`` documents of each language. The first pass reads ids and languages only.
+
+    Counts, k-means and floors are made language by language in tasks; the driver gets a row of document counts and ``clusters`` centres
+    for each language, which are the model.
+    """
     labelled = docs.where(trains & F.col(lang).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"))
     # By the counts, hashes under a bound that about four times the sample lies below: few rows of a language meet in a task, at any size.
     # Ids are counted, not rows: few, often repeated ids still give a sample.
@@ -149,44 +153,66 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", lang: str = "lang",
     packed_rows = scan(chosen, ["text"], "grams binary, windows array<binary>", make, ["__own", "lang"])
     # One row for each id and language, whatever repeats.
     once = packed_rows.groupBy("__own", "lang").agg(F.min(F.struct("grams", "windows")).alias("x")).select("lang", "x.grams", "x.windows")
-    rows = [r for r in once.collect() if len(r["grams"])]
-    if not rows:
+    # At most per_language rows of a language: a task holds the dense counts of one language at a time.
+    of = cut(once.where(F.octet_length("grams") > 0)).groupBy("lang")
+
+    def seen_in(rows):
+        return pd.DataFrame({"lang": rows["lang"][:1], "n": len(rows), "seen": [(unpacked(rows["grams"]) > 0).sum(0).astype("<i4").tobytes()]})
+
+    seen = sorted(of.applyInPandas(seen_in, "lang string, n long, seen binary").collect(), key=lambda r: r["lang"])
+    if not seen:
         return None
-    rows.sort(key=lambda r: (r["lang"], bytes(r["grams"])))
-    # Dense counts stand in memory for one language at a time; the sample is held as it came, sparse.
-    languages = sorted({r["lang"] for r in rows})
-    of = [[r for r in rows if r["lang"] == x] for x in languages]
-    seen = sum((unpacked([r["grams"] for r in some]) > 0).sum(0) for some in of)
-    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
-    model = Centroids(languages, idf, np.empty((0, DIM)), np.empty(0, int), np.zeros(21))
-    found = [_kmeans(model.vectors(unpacked([r["grams"] for r in some])), clusters) for some in of]
-    model.centres = np.vstack(found).astype(np.float32)
-    model.owner = np.concatenate([np.full(len(c), i) for i, c in enumerate(found)])
-    reach = []
-    for some in of:
-        dense = unpacked([r["grams"] for r in some])
-        reach.append(((model.vectors(dense) @ model.centres.T).max(1), band(dense.sum(1))))
-    top, bands = (np.concatenate(x) for x in zip(*reach))
-    lowest = {b: float(top[bands == b].min()) for b in range(21) if (bands == b).sum() >= ENOUGH}
-    reached: dict[tuple[int, int], list[float]] = {}
-    for i, r in ((i, r) for i, some in enumerate(of) for r in some):
-        if r["windows"]:
-            short = unpacked(r["windows"])
-            for b, x in zip(band(short.sum(1)).tolist(), (model.vectors(short) @ model.centres.T).max(1).tolist()):
-                reached.setdefault((b, i), []).append(x)
-    for (b, _), found in reached.items():
-        if len(found) >= ENOUGH:
-            lowest[b] = min(lowest.get(b, 1.0), float(np.quantile(found, BELOW)))
+    total = np.sum([np.frombuffer(r["seen"], "<i4") for r in seen], axis=0, dtype=np.int64)
+    idf = (np.log((1 + sum(r["n"] for r in seen)) / (1 + total)) + 1).astype(np.float32)
+    model = Centroids([r["lang"] for r in seen], idf, np.empty((0, DIM)), np.empty(0, int), np.zeros(21))
+
+    def centres_of(rows):
+        found = _kmeans(model.vectors(unpacked(sorted(rows["grams"]))), clusters)
+        return pd.DataFrame({"lang": [rows["lang"].iloc[0]] * len(found), "i": range(len(found)), "centre": [x.astype("<f4").tobytes() for x in found]})
+
+    found = sorted(of.applyInPandas(centres_of, "lang string, i int, centre binary").collect(), key=lambda r: (r["lang"], r["i"]))
+    at = {x: i for i, x in enumerate(model.languages)}
+    model.centres = np.stack([np.frombuffer(r["centre"], "<f4") for r in found])
+    model.owner = np.array([at[r["lang"]] for r in found])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def reach_of(rows):
+        """The least cosine of the texts of each band, and the low quantile of the windows of each."""
+        own = shared.value
+        dense = unpacked(rows["grams"])
+        top, bands = (own.vectors(dense) @ own.centres.T).max(1), band(dense.sum(1))
+        out = [("text", int(b), int((bands == b).sum()), float(top[bands == b].min())) for b in np.unique(bands)]
+        reached: dict[int, list[float]] = {}
+        for some in rows["windows"]:
+            if len(some):
+                short = unpacked(some)
+                for b, x in zip(band(short.sum(1)).tolist(), (own.vectors(short) @ own.centres.T).max(1).tolist()):
+                    reached.setdefault(b, []).append(x)
+        out += [("window", b, len(x), float(np.quantile(x, BELOW))) for b, x in reached.items()]
+        return pd.DataFrame(out, columns=["kind", "band", "n", "least"])
+
+    reach = of.applyInPandas(reach_of, "kind string, band int, n long, least double")
+    texts: dict[int, tuple[int, float]] = {}
+    pieces = []
+    for r in reach.collect():
+        if r["kind"] == "text":
+            n, least = texts.get(r["band"], (0, 1.0))
+            texts[r["band"]] = n + r["n"], min(least, r["least"])
+        elif r["n"] >= ENOUGH:
+            pieces.append((r["band"], r["least"]))
+    lowest = {b: least for b, (n, least) in texts.items() if n >= ENOUGH}
+    for b, x in pieces:
+        lowest[b] = min(lowest.get(b, 1.0), x)
     for b in range(1, WINDOWS + 1):  # longer pieces don't score less
         if b in lowest and b - 1 in lowest:
             lowest[b] = max(lowest[b], lowest[b - 1])
-    for b in set(bands.tolist()) & set(lowest):  # a training text is never rejected
-        lowest[b] = min(lowest[b], float(top[bands == b].min()))
+    for b in texts.keys() & lowest.keys():  # a training text is never rejected
+        lowest[b] = min(lowest[b], texts[b][1])
     # A band without enough takes the one below, where texts are shorter; those below all others, less by the root of their length.
     first = min(lowest, default=None)
     for b in range(21):
         if first is None:
-            model.floors[b] = margin * float(top.min()) * 0.5 ** (max(0, int(bands.min()) - b) / 2)
+            model.floors[b] = margin * min(x for _, x in texts.values()) * 0.5 ** (max(0, min(texts) - b) / 2)
         elif b < first:
             model.floors[b] = margin * lowest[first] * 0.5 ** ((first - b) / 2)
         else:
