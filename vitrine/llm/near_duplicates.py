@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, hot_keys, join_hot, scan
+from .common import HOT_SHARE, as_bytes, cut, hot_keys, join_hot, scan
 
 BITS, SEED, BUCKET = 64, 42, 4096
 #: Chance meets for each fingerprint that the choice of segments allows.
@@ -224,25 +224,36 @@ def links(fps: DataFrame, t: int = 4, fp: str = "fp", bucket: int = BUCKET) -> D
 # ---- components
 
 
+def _beside_least(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (u, v) with m, the least v of u, and (u, m) alone.
+
+    The least is combined before the shuffle. Rows of a u that more than ``HOT_SHARE`` of the ``total`` rows have stay where they are: their
+    least is broadcast, for fewer than 1000 of them.
+    """
+    least = cut(rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+    hot = F.broadcast(least.where(F.col("n") > total * HOT_SHARE).select("u", "m"))
+    least = least.select("u", "m")
+    return rows.join(hot, "u").unionByName(rows.join(hot, "u", "left_anti").join(least, "u")), least
+
+
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, root) for every node of an edge, by alternating stars; the root is the smallest node.
 
-    A star's centre with very many leaves is summed up before the shuffle; its leaves meet in one task of the join behind it, as AQE doesn't split a join over an aggregate.
+    Rows of a star's centre with very many leaves are never shuffled by the centre.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
+    n, state = now.count(), None
     for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        lower = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        centre = lower.groupBy("u").agg(F.min("v").alias("m"))
-        small = lower.join(centre, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(centre.select("u", F.col("m").alias("v")))
+        both, _least = _beside_least(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), 2 * n)
+        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        lower = cut(large.where("u <> v").distinct())
+        starred, centre = _beside_least(lower, lower.count())
+        small = starred.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(centre.select("u", F.col("m").alias("v")))
         now = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(found) == state:
             break
-        state = tuple(found)
+        n, state = found[0], tuple(found)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node")).distinct()
