@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import baseline_avg, conditional_sums, latest_per_key, ordered_string_agg, weighted_mean
+from ..operators import baseline_avg, conditional_sums, latest_per_key, ordered_string_agg, rounded_mean, weighted_mean
 
 
 def price_by_date(prices: DataFrame, *cols: str) -> DataFrame:
@@ -48,7 +48,7 @@ def reviews_with_price(reviews: DataFrame, prices: DataFrame) -> DataFrame:
 
 def mart_player_daily_avg(players: DataFrame) -> DataFrame:
     return players.groupBy("app_id", "snapshot_date").agg(
-        F.round(F.avg("concurrent_in_game")).alias("avg_concurrent"),
+        rounded_mean("concurrent_in_game").alias("avg_concurrent"),
         F.max("concurrent_in_game").alias("max_concurrent"),
         F.min("concurrent_in_game").alias("min_concurrent"),
         F.count("*").alias("snapshot_count"),
