@@ -6,7 +6,7 @@ from .relational import (
     keyed_update,
     latest_per_key,
     ordered_string_agg,
-    rounded_mean,
+    running_sum,
     top_n_per_group,
     union_by_name,
     weighted_mean,
@@ -15,5 +15,5 @@ from .upsert import insert_only, recover, replace_groups, upsert
 
 __all__ = [
     "active_semi_join", "baseline_avg", "conditional_sums", "dedupe_latest", "insert_only", "keyed_update", "latest_per_key",
-    "ordered_string_agg", "recover", "replace_groups", "rounded_mean", "top_n_per_group", "union_by_name", "upsert", "weighted_mean",
+    "ordered_string_agg", "recover", "replace_groups", "running_sum", "top_n_per_group", "union_by_name", "upsert", "weighted_mean",
 ]

@@ -47,13 +47,9 @@ def weighted_mean(value: str, weight: str) -> Column:
     return F.sum(F.col(weight) * F.col(value)) / F.nullif(F.sum(weight), F.lit(0))
 
 
-def rounded_mean(value: str) -> Column:
-    """``round(avg(value))`` of fractional numbers, the same in any order of the rows: a mean at a half isn't missed by the error of a sum of doubles.
-
-    Numbers count with 15 decimals; a group with one of 10^12 or more, or not finite, has the mean of its doubles."""
-    plain = F.abs(F.col(value)) < 1e12
-    exact = F.round(F.avg(F.when(plain, F.col(value)).cast("decimal(28,15)"))).cast("double")
-    return F.when(F.count(value) == F.count_if(plain), exact).otherwise(F.round(F.avg(value)))
+def running_sum(value: str, keys: Sequence[str], order: Sequence[str | Column]) -> Column:
+    """Sum of doubles from a group's first row to this one, added up one by one: the last row's sum is the same however rows are dealt."""
+    return F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def conditional_sums(value: str, by: str, cases: dict[str, str]) -> list[Column]:

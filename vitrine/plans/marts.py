@@ -8,12 +8,12 @@ the trailing window.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import baseline_avg, conditional_sums, latest_per_key, ordered_string_agg, rounded_mean, weighted_mean
+from ..operators import baseline_avg, conditional_sums, latest_per_key, ordered_string_agg, running_sum, weighted_mean
 
 
 def price_by_date(prices: DataFrame, *cols: str) -> DataFrame:
@@ -46,9 +46,17 @@ def reviews_with_price(reviews: DataFrame, prices: DataFrame) -> DataFrame:
     return joined.select("app_id", "review_date", "review_count", "is_discounted", "discount_percent")
 
 
-def mart_player_daily_avg(players: DataFrame) -> DataFrame:
-    return players.groupBy("app_id", "snapshot_date").agg(
-        rounded_mean("concurrent_in_game").alias("avg_concurrent"),
+def mart_player_daily_avg(players: DataFrame, order: str | None = None) -> DataFrame:
+    """Daily mean, largest, smallest and number of a game's counts.
+
+    Whole numbers add up to the same in any order. Fractional ones don't, and a mean at a half is then rounded up or down by the order of its rows:
+    with ``order`` they are added one by one in the order of that column."""
+    keys, mean = ["app_id", "snapshot_date"], F.avg("concurrent_in_game")
+    if order is not None:
+        players = players.withColumn("__sum", running_sum("concurrent_in_game", keys, [order]))
+        mean = F.max_by("__sum", order) / F.nullif(F.count("concurrent_in_game"), F.lit(0))
+    return players.groupBy(*keys).agg(
+        F.round(mean).alias("avg_concurrent"),
         F.max("concurrent_in_game").alias("max_concurrent"),
         F.min("concurrent_in_game").alias("min_concurrent"),
         F.count("*").alias("snapshot_count"),
@@ -102,8 +110,8 @@ class Trend:
         return self.finish(self.with_baseline(self.daily(facts)), prices, games)
 
 
-def _player_days(players: DataFrame) -> DataFrame:
-    return mart_player_daily_avg(players).select("app_id", F.col("snapshot_date").alias("date"), "avg_concurrent", "max_concurrent")
+def _player_days(players: DataFrame, order: str | None = None) -> DataFrame:
+    return mart_player_daily_avg(players, order).select("app_id", F.col("snapshot_date").alias("date"), "avg_concurrent", "max_concurrent")
 
 
 def _player_trend(daily: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
@@ -150,8 +158,9 @@ REVIEW_TREND = Trend(_review_days, "total_review_count", "baseline_7d_avg", _rev
 PLAYTIME_TREND = Trend(_playtime_days, "at_review", "baseline_7d_avg_playtime", _playtime_trend)
 
 
-def mart_discount_player_trend(players: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:
-    return PLAYER_TREND.whole(players, prices, games)
+def mart_discount_player_trend(players: DataFrame, prices: DataFrame, games: DataFrame, order: str | None = None) -> DataFrame:
+    """``order`` as in :func:`mart_player_daily_avg`."""
+    return replace(PLAYER_TREND, daily=lambda p: _player_days(p, order)).whole(players, prices, games)
 
 
 def mart_discount_review_trend(reviews: DataFrame, prices: DataFrame, games: DataFrame) -> DataFrame:

@@ -41,13 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _players(spark, d):
-    return table(spark, d, "events").select(F.col("user_id").alias("app_id"), F.to_date("ts").alias("snapshot_date"), F.col("value").alias("concurrent_in_game"))
+    return table(spark, d, "events").select(F.col("user_id").alias("app_id"), F.to_date("ts").alias("snapshot_date"), F.col("value").alias("concurrent_in_game"), "event_id")
 
 
 @query("""select user_id app_id, cast(ts as date) snapshot_date, round(avg(value)) avg_concurrent, max(value) max_concurrent,
     min(value) min_concurrent, count(*) snapshot_count from events group by 1, 2""")
 def player_daily_avg(spark, d):
-    return marts.mart_player_daily_avg(_players(spark, d))
+    return marts.mart_player_daily_avg(_players(spark, d), "event_id")
 
 
 @query("""select user_id app_id, event_type "language", cast(ts as date) review_date, cast(count(*) as bigint) review_count
