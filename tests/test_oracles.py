@@ -43,7 +43,7 @@ def test_same_rows(spark, duck, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(names, out.fetchall())
 
 
-@pytest.mark.parametrize("name", ["player_daily_avg"])
+@pytest.mark.parametrize("name", ["player_daily_avg", "discount_player_trend"])
 def test_means_at_a_half(spark, tmp_path, name):
     """Fractional counts whose mean is a half by decimals, but not by a sum of doubles in the order of the rows, or the other way round."""
     rng, rows = random.Random(5), []

@@ -127,7 +127,7 @@ def discount_review_trend(spark, d):
   from r left join p on r.app_id = p.app_id and "date" = price_date left join g on r.app_id = c_custkey""")
 def discount_player_trend(spark, d):
     prices = _prices(spark, d).withColumns({"initial_price": F.lit(None).cast("int"), "final_price": F.lit(None).cast("int"), "discount_end_at": F.lit(None).cast("timestamp")})
-    out = marts.mart_discount_player_trend(_players(spark, d), prices, _games(spark, d))
+    out = marts.mart_discount_player_trend(_players(spark, d), prices, _games(spark, d), "event_id")
     return out.drop("initial_price", "final_price", "discount_end_at").withColumn("baseline_7d_avg", F.round("baseline_7d_avg", 6))
 
 
