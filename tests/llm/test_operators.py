@@ -500,6 +500,30 @@ def test_similar_groups(spark, docs, monkeypatch):
     assert near_duplicates.keep_one_similar(empty(spark)).count() == 0
 
 
+def test_similar_groups_by_fingerprints_first(spark, monkeypatch):
+    """Fingerprints are linked by segments and chains; texts that share a rare passage only are not paired one with another."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    shared = [rng.choice(words) for _ in range(30)]
+    texts = [" ".join([*shared, *(rng.choice(words) for _ in range(80))]) for _ in range(300)]
+    texts += [t.replace(" ", "  ").upper().replace("W", "w") for t in texts[:20]] + [t + " end" for t in texts[20:40]]
+    calls, pairs = [], []
+    links, similar = near_duplicates.links, near_duplicates._similar
+    monkeypatch.setattr(near_duplicates, "links", lambda *a, **k: calls.append(links(*a, **k)) or calls[-1])
+    monkeypatch.setattr(near_duplicates, "_similar", lambda p, *a: pairs.append(p.count()) or similar(p, *a))
+    monkeypatch.setattr(near_duplicates, "_common_shingles", lambda *a: np.empty(0, np.uint64))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in near_duplicates.keep_one_similar(df).collect()) == list(range(300))
+    assert len(calls) == 1 and pairs[0] <= 300 * 30 and pairs[1] < 300, pairs
+    rows = [[rng.getrandbits(64) for _ in range(n)] for n in (1, 2, 7, 40)]
+    for r in rows:
+        s = np.unique(np.array(r, np.uint64))
+        assert near_duplicates._set_fingerprint(s) & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in r) > len(r))
+        for q in rows:
+            bits = near_duplicates._parities(s) ^ near_duplicates._parities(np.unique(np.array(q, np.uint64)))
+            assert int(np.bitwise_count(bits.view(np.uint64)).sum()) <= len(set(r) ^ set(q))
+
+
 def test_pipeline_drops_near_copies(spark):
     """A copy with some changed words, which lies more than four bits from its original, goes."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")

@@ -18,8 +18,10 @@ component id only where no other row of the component has one; repeated rows are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,11 @@ MEETS = 4
 #: The Jaccard similarity of near copies, as a fraction.
 SIMILAR = (4, 5)
 #: Texts of the sample that finds common shingles (at least; or a fiftieth of all), and how many of them have a common one.
-SAMPLE, OFTEN = 4096, 8
+SAMPLE, OFTEN = 4096, 2
 #: The most common shingles whose order is known to every task, 512 KB at any size of the corpus; others are ordered by hash.
 COMMON = 1 << 16
+#: Longs of parities of a set: pairs that these tell apart are not made.
+WORDS = 8
 #: More hashes than this are joined by a shuffle.
 MOST_HASHES = 4_000_000
 
@@ -326,16 +330,17 @@ def shingle_set(text: bytes | None, width: int = 5) -> np.ndarray:
 
 
 def _prefix(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, common ones last: two sets that are similar enough have one of them in common."""
+    """The first shingles of a set, common ones last, the most common ones (the first of ``common``) at the end: two sets that are similar enough have one of them in common."""
     num, den = SIMILAR
     if len(common):
-        last = np.isin(s, common, assume_unique=True)
-        s = np.concatenate([s[~last], s[last]])
+        by_hash = np.argsort(common)
+        at = by_hash[np.minimum(np.searchsorted(common, s, sorter=by_hash), len(common) - 1)]
+        s = s[np.argsort(np.where(common[at] == s, len(common) - at, 0), kind="stable")]
     return s[: len(s) + (-num * len(s)) // den + 1]
 
 
 def _common_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """At most ``COMMON`` shingles, those of most sampled texts (``OFTEN`` or more). They only set the order of shingles, which may be any: no pair depends on them."""
+    """At most ``COMMON`` shingles, those of most sampled texts (``OFTEN`` or more), the most common one first. They only set the order of shingles, which may be any: no pair depends on them."""
     share = max(1 / 50, SAMPLE / max(docs.count(), 1))
     narrow = docs.select(F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
     some = narrow.where((F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53) < share) & F.col("text").isNotNull())
@@ -348,7 +353,7 @@ def _common_shingles(docs: DataFrame, text: str, width: int) -> np.ndarray:
 
     once = scan(some, ["text"], "grams array<bigint>", make, ["h"]).dropDuplicates(["h"])
     often = once.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "g").limit(COMMON).select("g")
-    return np.sort(np.array([r["g"] for r in often.collect()], np.int64).view(np.uint64))
+    return np.array([r["g"] for r in often.collect()], np.int64).view(np.uint64)
 
 
 def _lists(sets: list[np.ndarray]) -> pa.Array:
@@ -367,6 +372,33 @@ def _sketch(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """``WORDS`` longs of parities of how many shingles fall on each bit: sets differ in at least as many shingles as these in bits."""
+    bits = np.bincount((s >> np.uint64(8) & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _set_fingerprint(s: np.ndarray) -> int:
+    """SimHash of a set: bits set in over half of its hashes."""
+    votes = np.zeros(BITS, np.int64)
+    for a in range(0, len(s), 1 << 15):
+        votes += np.unpackbits(s[a : a + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(s), bitorder="little").view(np.int64)[0])
+
+
+def _fingerprint_pairs(marked: DataFrame, t: int) -> DataFrame:
+    """(a, b), a > b: pairs of nodes by SimHash. Those of one fingerprint are paired with the first of them, the first ones along the links of
+    fingerprints by intact segments and chains."""
+    nodes = cut(marked.groupBy("fp").agg(F.min("node").alias("first")))
+    own = marked.select("fp", "node").distinct()
+    pairs = join_hot(own, nodes, "fp", hot_keys(own, "fp")).select(F.col("node").alias("x"), F.col("first").alias("y"))
+    along = edges = cut(links(nodes, t))
+    for end, name in (("a", "x"), ("b", "y")):
+        along = join_hot(along, nodes.select(F.col("fp").alias(end), F.col("first").alias(name)), end, hot_keys(edges, end))
+    both = pairs.unionByName(along.select("x", "y")).where("x <> y")
+    return both.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+
+
 def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int) -> DataFrame:
     """The pairs whose sets have at least the Jaccard similarity ``SIMILAR``, counted exactly; whole sets only where sketches are near."""
     num, den = SIMILAR
@@ -413,14 +445,16 @@ def _similar(pairs: DataFrame, marked: DataFrame, narrow: DataFrame, width: int)
     return cut(scan(both(sets, ["grams"], left), ["a_grams", "b_grams"], "ok boolean", same, ["a", "b"]).where("ok").select("a", "b"))
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, t: int = 4) -> DataFrame:
     """(doc_id, h, root) of every row: ``root`` names a component by its first row (none, doc_id, h); components are of texts whose sets of ``width``-word shingles have a Jaccard
     similarity of ``SIMILAR`` or more.
 
-    Exact: in one order of all shingles, two sets that are similar enough have a shingle among the first of both (prefix filter), and
-    the first one that they share leaves enough behind it in both (positional filter). Equal sets are one node. Pairs are verified
-    with whole sets, those of neighbours in a few orders, and of each text with the one in the middle of those that share a shingle, first:
-    then only pairs of different components are left to look at.
+    First by SimHash: fingerprints of the sets are linked at ``t`` bits by intact segments and chains, the pairs are verified with whole sets,
+    and components come from stars. At that similarity sets may lie up to some 19 bits apart, so the rest is found by an exact join: in
+    one order of all shingles, two sets that are similar enough have a shingle among the first of both (prefix filter), the first one that
+    they share leaves enough behind it in both (positional filter), and their parities differ in no more bits than the sets may (bitmap filter).
+    Equal sets are one node. Pairs of neighbours in a few orders, and of each text with the one in the middle of those that share a shingle,
+    are verified along with the fingerprints' pairs: then only pairs of different components are left to look at.
     """
     num, den = SIMILAR
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
@@ -432,11 +466,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         def f(texts: pa.Array) -> list:
             sets = [shingle_set(t, width) for t in as_bytes(texts)]
             nodes = np.array([_node(s) for s in sets], np.uint64).view(np.int64)
-            return [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), _lists([_prefix(s, common) for s in sets]), pa.array([_sketch(s) for s in sets], pa.binary())]
+            return [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), _lists([_prefix(s, common) for s in sets]), pa.array([_sketch(s) for s in sets], pa.binary()), pa.array([_set_fingerprint(s) for s in sets], pa.int64()), _lists([_parities(s).view(np.uint64) for s in sets])]
 
         return f
 
-    marked = cut(scan(narrow, ["text"], "node bigint, size int, prefix array<bigint>, sketch binary", firsts, ["doc_id", "h"]))
+    marked = cut(scan(narrow, ["text"], "node bigint, size int, prefix array<bigint>, sketch binary, fp bigint, parities array<bigint>", firsts, ["doc_id", "h"]))
     once = marked.select("node", "size", "prefix").dropDuplicates(["node"])
     rows = once.select("node", "size", F.posexplode("prefix").alias("pos", "g"))
     alone = Window.partitionBy("g")
@@ -458,14 +492,18 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     middle = met.groupBy("node").agg((F.sum("n") / firsts).alias("middle"))
     ranked = met.join(middle, "node")
     pivots = ranked.select(me.alias("x"), F.max_by(me, F.struct("middle", "node")).over(alone).alias("y")).where("x.node <> y.node").where(fits("x", "y"))
-    near = cut(neighbours.select(*ends("x", "y")).unionByName(pivots.select(*ends("x", "y"))).distinct())
+    near = cut(neighbours.select(*ends("x", "y")).unionByName(pivots.select(*ends("x", "y"))).unionByName(_fingerprint_pairs(marked, t)).distinct())
     linked_now = _similar(near, marked, narrow, width)
     of = components(linked_now)
     placed = met.join(of, "node", "left").select("g", "node", "size", "rest", F.coalesce("root", "node").alias("root"))
     counts = placed.groupBy("g", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("g").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("g", "main")
-    left = cut(placed.join(main, "g"))
-    pairs = left.where("root <> main").alias("x").join(left.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root")) & fits("x", "y"))
+    words = [f"w{i}" for i in range(WORDS)]
+    bits = marked.select("node", *[F.col("parities")[i].alias(w) for i, w in enumerate(words)]).dropDuplicates(["node"])
+    left = cut(placed.join(main, "g").join(bits, "node"))
+    apart = reduce(add, [F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in words])
+    may = (num + den) * apart <= (den - num) * (F.col("x.size") + F.col("y.size"))
+    pairs = left.where("root <> main").alias("x").join(left.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.root") != F.col("y.root")) & fits("x", "y") & may)
     others = pairs.select(*ends("x", "y")).distinct().join(near, ["a", "b"], "left_anti")
     edges = linked_now.unionByName(_similar(cut(others), marked, narrow, width))
     reps = cut(marked.groupBy("node").agg(_first_row()))
