@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontamination, language_id, license_scan, near_duplicates, personal_data, piece_encoding, quality_rules, sharding, token_counts, warc
+from vitrine.llm import common, decontamination, language_id, license_scan, near_duplicates, personal_data, piece_encoding, quality_rules, sharding, token_counts, warc
 from vitrine.llm.queries import ORACLES, QUERIES, vocabulary
 
 DATA = "/root/testdata/sf0.001"
@@ -230,6 +230,38 @@ def test_pieces_of_random_texts():
         assert codec.encode(t) == ids and codec.decode(ids).decode() == sp.decode(ids), t
 
 
+def test_workers_drop_the_codec(spark, docs):
+    """Workers that have encoded don't keep the tables beside what a later operator needs."""
+    piece_encoding.round_trip(docs, vocabulary("piece_bpe_32k.model")).count()
+
+    def make():
+        import gc
+
+        first = []
+
+        def f(column):
+            first.append(sum(type(x).__name__ == "PieceCodec" for x in gc.get_objects()))
+            return [pa.array([first[-1]] * len(column), pa.int64())]
+
+        return f
+
+    assert common.scan(docs.repartition(8), ["text"], "codecs bigint", make).agg(F.sum("codecs")).first()[0] == 0
+
+
+def test_one_operator_keeps_its_model():
+    made = []
+
+    def load(name):
+        made.append(name)
+        return [name]
+
+    make = lambda: common.held(load, "a")
+    assert common.started(make) is common.started(make) and made == ["a"]
+    common.started(lambda: None)
+    common.started(make)
+    assert made == ["a", "a"]
+
+
 # ---- 5
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

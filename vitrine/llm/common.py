@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,6 +58,33 @@ def cut(df: DataFrame) -> DataFrame:
 ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
+#: The large models of this worker, by what made them, and those that the task at hand has asked for.
+_models: dict[tuple, object] = {}
+_asked: set[tuple] = set()
+
+
+def held(load: Callable, *args) -> object:
+    """``load(*args)``, kept by a Python worker for later tasks of the same operator. A worker serves all operators of a session: the first task of
+    one that doesn't ask for the model drops it, else its tables stand beside whatever comes later."""
+    key = (load, *args)
+    _asked.add(key)
+    if key not in _models:
+        _models[key] = load(*args)
+    return _models[key]
+
+
+def started(make: Callable[[], Callable]) -> Callable:
+    """What ``make`` gives at the start of a task; models that it hasn't asked for go, and their memory goes back."""
+    _asked.clear()
+    f = make()
+    if gone := _models.keys() - _asked:
+        for key in gone:
+            del _models[key]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return f
+
+
 def scan(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Callable[..., list]], keep: list[str] | None = None) -> DataFrame:
     """Appends columns that a Python function makes from whole Arrow columns, batch by batch, without a shuffle.
 
@@ -76,7 +104,7 @@ def scan(df: DataFrame, inputs: list[str], outputs: str, make: Callable[[], Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
         for b in batches:
-            f = f or make()
+            f = f or started(make)
             new = f(*[b.column(b.schema.get_field_index(c)) for c in inputs])
             kept = [b.column(b.schema.get_field_index(c)) for c in names]
             cols = [c if c.type == t.type else c.cast(t.type) for c, t in zip([*kept, *[n if isinstance(n, pa.Array) else pa.array(n, t.type) for n, t in zip(new, list(arrow)[len(names) :])]], arrow)]

@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from functools import lru_cache
 from operator import add
 
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scan
+from .common import held, scan
 
 MARK = "▁"
 REMEMBERED, REMEMBERED_CHARS, PAIRS = 200_000, 48, 300_000
@@ -231,10 +230,9 @@ class PieceCodec:
         return out.decode("utf-8", "replace").encode()
 
 
-@lru_cache(maxsize=2)
 def load_codec(path: str) -> PieceCodec:
-    """One codec for each Python worker, which serves many tasks."""
-    return PieceCodec(path)
+    """One codec for each Python worker, for all its tasks that encode or decode one after the other."""
+    return held(PieceCodec, path)
 
 
 def _with_codec(path: str, f: Callable):
