@@ -201,6 +201,25 @@ def test_load_reads_what_it_touches(spark, tmp_path):
     assert {r["language"] for r in shop.lake.rows().where("recommendationid = '4004'").collect()} == {"german"}
 
 
+def test_new_reviews_are_not_sorted_again(spark, tmp_path, monkeypatch):
+    """Lake and load are brought together by review only where the lake has earlier rows, or where ids are null; the rows are the same."""
+    bronze, shop, merges = tmp_path / "bronze", Storefront(spark, str(tmp_path / "bronze"), str(tmp_path / "wh"), index_buckets=4), []
+    merge = silver.merge_reviews
+    monkeypatch.setattr(silver, "merge_reviews", lambda lake, fresh: (merges.append(lake is not None), merge(lake, fresh))[1])
+
+    def load(day, *rows):
+        put(spark, bronze, date(2025, 4, day), *rows)
+        merges.clear()
+        shop.load_reviews(date(2025, 4, day))
+        return any(merges), sorted((r["recommendationid"] or "", r["review"]) for r in shop.lake.rows().collect())
+
+    assert load(1, one(1, 1, "english", text="a"), one(1, 1, "english", upd=2, text="b")) == (False, [("1", "b")])
+    assert load(2, one(2, 1, "english", text="c")) == (False, [("1", "b"), ("2", "c")])
+    assert load(3, one(2, 1, "english", upd=3, text="d"), one(3, 1, "english", text="e")) == (True, [("1", "b"), ("2", "d"), ("3", "e")])
+    shop.add_reviews(spark.read.schema(S.REVIEWS).parquet(f"{bronze}/reviews/20250403").withColumn("recommendationid", F.lit(None).cast("string")))
+    assert any(merges)
+
+
 def facts(shop):
     daily = {tuple(r)[:3]: r["review_count"] for r in shop.table("fact_review_daily").collect()}
     played = {tuple(r)[:3]: tuple(r)[3:6] for r in shop.table("fact_review_playtime_daily").collect()}

@@ -175,7 +175,7 @@ class ReviewLake:
         touched = self.folders(parts)
         self.read = self.standing(touched)
         before = self.rows(self.read).drop("year", "month") if self.read else None
-        merged = silver.merge_reviews(before, fresh).withColumns({"year": F.col("review_year"), "month": F.lpad(F.col("review_month").cast("string"), 2, "0")})
+        merged = self._merged(before, fresh, held).withColumns({"year": F.col("review_year"), "month": F.lpad(F.col("review_month").cast("string"), 2, "0")})
         new = change.replace_partitions(merged, self.path, silver.LAKE_PARTS, dropped=touched)
         now = spark.read.schema(self.rows([]).schema).parquet(new).select(*ID, "language", "year", "month").join(fresh.select(*ID), ID, "left_semi")
         same = [F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*ID, "language", "year", "month")]
@@ -185,6 +185,16 @@ class ReviewLake:
             parts.write.parquet(f"{staged}/{consumer}")
             change.move(f"{staged}/{consumer}", f"{self.root}/reviews_touched/{consumer}/{uuid.uuid4().hex}")
 
+    @staticmethod
+    def _merged(before: DataFrame | None, fresh: DataFrame, held: DataFrame) -> DataFrame:
+        """``before`` and ``fresh`` have one row of each review. Only if the lake has earlier rows of fresh ones (or ids are null, which the index
+        doesn't know) are they brought together by review; else they stand side by side, and their texts are not shuffled and sorted again."""
+        if before is None:
+            return fresh
+        if held.isEmpty() and fresh.where("recommendationid is null").isEmpty():
+            return before.unionByName(fresh, allowMissingColumns=True)
+        return silver.merge_reviews(before, fresh)
+
     def touched(self, consumer: str) -> tuple[DataFrame, list[str]]:
         """Partitions touched since the consumer last took note, and the lists that it drops when it has."""
         top = f"{self.root}/reviews_touched/{consumer}"
