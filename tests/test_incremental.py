@@ -187,6 +187,27 @@ def test_index(spark, tmp_path):
     assert 1 <= len(index.read) <= 2
 
 
+def test_index_asks_no_filter_for_many(spark, tmp_path, monkeypatch):
+    """Of a bucket that more reviews fall into than ``most_asked`` all entries are read, and no filter is asked; what is found is the same."""
+    kind = "appid int, recommendationid string"
+    journal, index = Journal(spark, str(tmp_path)), ReviewIndex(spark, str(tmp_path / "ix"), buckets=4)
+    for first in (0, 300):
+        change = journal.begin()
+        index.add(change, spark.createDataFrame([(1, str(i), "english", 2025, 4) for i in range(first, first + 200)], f"{kind}, language string, year int, month int"))
+        change.commit()
+    asked = spark.createDataFrame([(1, str(i)) for i in range(100, 400)], kind)
+    expected = sorted(tuple(r) for r in index.lookup(asked).collect())
+    assert [r[1] for r in expected] == sorted(str(i) for i in range(100, 400) if not 200 <= i < 300)
+    asks, hits = [], ReviewIndex._hits
+    monkeypatch.setattr(ReviewIndex, "_hits", lambda self, generations, ids: asks.append(ids.count()) or hits(self, generations, ids))
+    per_bucket = [r["n"] for r in asked.groupBy(F.pmod(F.xxhash64("appid", "recommendationid"), F.lit(4))).agg(F.count("*").alias("n")).collect()]
+    for most, left in ((0, []), (min(per_bucket), [min(per_bucket)]), (max(per_bucket), [300])):
+        index.most_asked = most
+        assert sorted(tuple(r) for r in index.lookup(asked).collect()) == expected
+        assert asks == left
+        asks.clear()
+
+
 def test_load_reads_what_it_touches(spark, tmp_path):
     """New reviews of one game: no index bucket and one partition of the lake are read; a moved review adds its bucket and the partition that it leaves."""
     bronze, shop = tmp_path / "bronze", Storefront(spark, str(tmp_path / "bronze"), str(tmp_path / "wh"), index_buckets=4)

@@ -3,6 +3,7 @@
 An index tells in which partition of the lake each review lies. It is a list of generations, each written once by one load; a generation has its
 entries and Bloom filters by bucket of the review's hash. Generations of like size are merged, so there are some log(loads) of them and an entry is
 rewritten some log(loads) times. A load asks the filters first: reviews that no filter knows are new, and of the entries only buckets with a hit are read.
+A bucket that very many of a load's reviews fall into is read without asking: some filter would err for one of them (one review in a hundred).
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ class ReviewIndex:
     buckets: int = 64
     hashes: int = 5
     bits_per_row: int = 10
+    #: Of a bucket with more reviews than this no filter is asked: all would say no with a chance of 1 in 12,000 (0.9906 ** 1000).
+    most_asked: int = 1000
     #: Folders that the last :meth:`lookup` read.
     read: list[str] = field(default_factory=list)
 
@@ -67,23 +70,32 @@ class ReviewIndex:
         self.read = []
         if generations:
             asked = ids.select(*ID, self._hash().alias("__h")).withColumn("bucket", F.pmod("__h", F.lit(self.buckets)).cast("int"))
-            each = F.explode(F.array(*[F.struct(F.lit(g.name).alias("gen"), F.lit(g.bits).cast("bigint").alias("bits")) for g in generations]))
-            probes = asked.select("__h", "bucket", each.alias("g")).select("__h", "bucket", "g.gen", F.explode(self._places(F.col("g.bits"))).alias("p"))
-            probes = probes.select("__h", "bucket", "gen", F.shiftright("p", 6).cast("int").alias("word"), F.pmod("p", F.lit(64)).cast("int").alias("bit"), "p").distinct()
-            filters = None
-            for g in generations:
-                own = self.spark.read.schema("word INT, set BIGINT, bucket INT").parquet(f"{self.path}/{g.name}/filters").withColumn("gen", F.lit(g.name))
-                filters = own if filters is None else filters.unionByName(own)
-            hit = probes.join(filters, ["gen", "bucket", "word"], "left").withColumn("on", F.coalesce(F.call_function("shiftright", F.col("set"), F.col("bit")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
-            known = hit.groupBy("gen", "bucket", "__h").agg(F.min("on").alias("on")).where("on").select("gen", "bucket").distinct()
+            counts = {r["bucket"]: r["n"] for r in asked.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+            full = [b for b, n in counts.items() if n > self.most_asked]
             # At most the number of generations times that of buckets.
-            self.read = [f"{self.path}/{r['gen']}/entries/bucket={r['bucket']}" for r in sorted(known.collect())]
+            hits = {(g.name, b) for g in generations for b in full}
+            if len(full) < len(counts):
+                hits |= self._hits(generations, asked.where(~F.col("bucket").isin(full)))
+            self.read = [f"{self.path}/{gen}/entries/bucket={bucket}" for gen, bucket in sorted(hits)]
             self.read = [p for p in self.read if files.exists(p)]
         if not self.read:
             return self.spark.createDataFrame([], self.ENTRY).drop("bucket")
         rows = self._entries(self.read)
         return self._latest(rows.join(ids.select(*ID), ID, "left_semi"))
 
+    def _hits(self, generations: list[Generation], asked: DataFrame) -> set[tuple[str, int]]:
+        """Generations and buckets whose filters know a review of ``asked`` (``__h``, ``bucket``), which has at most ``most_asked`` of a bucket."""
+        each = F.explode(F.array(*[F.struct(F.lit(g.name).alias("gen"), F.lit(g.bits).cast("bigint").alias("bits")) for g in generations]))
+        probes = asked.select("__h", "bucket", each.alias("g")).select("__h", "bucket", "g.gen", F.explode(self._places(F.col("g.bits"))).alias("p"))
+        probes = probes.select("__h", "bucket", "gen", F.shiftright("p", 6).cast("int").alias("word"), F.pmod("p", F.lit(64)).cast("int").alias("bit"), "p").distinct()
+        filters = None
+        for g in generations:
+            own = self.spark.read.schema("word INT, set BIGINT, bucket INT").parquet(f"{self.path}/{g.name}/filters").withColumn("gen", F.lit(g.name))
+            filters = own if filters is None else filters.unionByName(own)
+        hit = probes.join(filters, ["gen", "bucket", "word"], "left").withColumn("on", F.coalesce(F.call_function("shiftright", F.col("set"), F.col("bit")).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+        known = hit.groupBy("gen", "bucket", "__h").agg(F.min("on").alias("on")).where("on").select("gen", "bucket").distinct()
+        return {(r["gen"], r["bucket"]) for r in known.collect()}
+
     def _entries(self, paths: list[str]) -> DataFrame:
         read = self.spark.read.schema(self.ENTRY.rsplit(",", 1)[0]).option("recursiveFileLookup", True)
         return read.parquet(*paths).withColumn("__gen", F.col("_metadata.file_path"))
@@ -177,9 +189,9 @@ class ReviewLake:
         before = self.rows(self.read).drop("year", "month") if self.read else None
         merged = self._merged(before, fresh, held).withColumns({"year": F.col("review_year"), "month": F.lpad(F.col("review_month").cast("string"), 2, "0")})
         new = change.replace_partitions(merged, self.path, silver.LAKE_PARTS, dropped=touched)
+        place = F.struct("language", "year", "month")
         now = spark.read.schema(self.rows([]).schema).parquet(new).select(*ID, "language", "year", "month").join(fresh.select(*ID), ID, "left_semi")
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*ID, "language", "year", "month")]
-        moved = now.alias("n").join(held.alias("h"), same[0] & same[1] & same[2] & same[3] & same[4], "left_anti")
+        moved = now.join(held.select(*ID, place.alias("__was")), ID, "left").where(~place.eqNullSafe(F.col("__was"))).drop("__was")
         self.index.add(change, moved)
         for consumer in self.CONSUMERS:
             parts.write.parquet(f"{staged}/{consumer}")
@@ -224,6 +236,9 @@ def replace_days(change: Change, path: str, fact: DataFrame, fresh: DataFrame, p
     if not months:
         return None
     measures = [c for c in fresh.columns if c not in (*keys, "updated_at")]
+    counted = change.folder(f"counted-{uuid.uuid4().hex[:8]}")
+    fresh.write.parquet(counted)  # it is looked at twice, and counts the lake
+    fresh = fact.sparkSession.read.schema(fresh.schema).parquet(counted)
     near = fact.where(F.substring("day", 1, 7).isin(months))
     p = parts.select(*[F.col(c).alias(f"__{c}") for c in silver.LAKE_PARTS])
     inside = (F.col("app_id") == F.col("__appid")) & F.col("language").eqNullSafe(F.col("__language")) & (F.year(day) == F.col("__year")) & (F.month(day) == F.col("__month"))

@@ -415,6 +415,10 @@ def _two_loads(spark: SparkSession, d: str) -> Storefront:
     """A shop whose lake took first versions and then second ones, with facts counted after each load; region 0 is no active game."""
     w = Window.partitionBy("n_regionkey").orderBy("event_id")
     v = table(spark, d, "events").join(table(spark, d, "customer"), F.col("user_id") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).withColumn("k", F.row_number().over(w) - 1)
+    root = scratch_root(spark, "shop")
+    v = v.select("k", "n_regionkey", "event_type", "ts", "event_id", "value")
+    v.write.parquet(f"{root}/numbered")  # each load reads its rows twice, and numbering takes one task for each region
+    v = spark.read.schema(v.schema).parquet(f"{root}/numbered")
     minutes = F.floor("value").cast("int")
     given = {
         "recommendationid": F.floor(F.col("k") / 2).cast("string"), "language": F.col("event_type"), "timestamp_created": F.unix_timestamp(F.col("ts").cast("timestamp")), "timestamp_updated": F.col("event_id"),
@@ -422,7 +426,6 @@ def _two_loads(spark: SparkSession, d: str) -> Storefront:
     }
     kinds = spark.createDataFrame([], REVIEWS).schema
     rows = v.select("k", *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
-    root = scratch_root(spark, "shop")
     shop = Storefront(spark, f"{root}/bronze", f"{root}/warehouse", index_buckets=8)
     games = table(spark, d, "region").select(F.col("r_regionkey").alias("appid"), *[F.lit(None).cast("date").alias(c) for c in ("first_seen", "last_discounted")], (F.col("r_regionkey") != 0).alias("is_active"), F.lit(True).alias("collect_reviews"), F.lit(True).alias("collect_players"), F.lit(None).cast("timestamp").alias("reviews_collected_at"), F.create_map().cast("map<string,string>").alias("review_cursors"))
     shop.save("tracked_games", games)
