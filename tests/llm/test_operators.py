@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -679,3 +680,24 @@ def test_pipeline(spark):
         assert not brute_base(decoded)
         if not brute_base(t) and not re.search("[0-9a-f]{32}", t):
             assert decoded == t
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """Rounds of stars cut their rows again and again: the shuffle files behind a cut go at once, and the frame that was cut can still be run."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left():
+        blocks = [str(b) for b in files.getAllBlocks().mkString("\n").split("\n") if str(b).startswith("shuffle_")]
+        return {b.split("_")[1] for b in blocks}
+
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    assert rows.count() == 7
+    before = left()
+    out = common.cut(rows)
+    for _ in range(50):
+        if not left() - before:
+            break
+        time.sleep(0.1)
+    assert not left() - before
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+    assert spark.conf.get(common.SWEEP, None) is None

@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +49,27 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Whether a query's shuffle files go at its end; else they stay until the driver happens to collect its garbage.
+SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Frames made within leave no shuffle files behind. Only for frames that are run once: another run of the same frame would miss them."""
+    before = spark.conf.get(SWEEP, None)
+    spark.conf.set(SWEEP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SWEEP) if before is None else spark.conf.set(SWEEP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, written once to the shared folder: later jobs don't recompute them, and a lost executor takes none of them along."""
+    """The rows, written once to the shared folder: later jobs don't recompute them, and a lost executor takes none of them along. The shuffle files
+    behind them go."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with swept(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # the frame itself may have been run before, or be run again
 
 
 #: Bytes of an Arrow batch that goes to a Python worker, unless the session sets it: with long texts a batch has fewer rows.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, cut, hot_keys, join_hot, scan
+from .common import as_bytes, cut, hot_keys, join_hot, scan, swept
 
 BITS, SEED, BUCKET = 64, 42, 4096
 #: Chance meets for each fingerprint that the choice of segments allows.
@@ -243,7 +243,8 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         centre = lower.groupBy("u").agg(F.min("v").alias("m"))
         small = lower.join(centre, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(centre.select("u", F.col("m").alias("v")))
         now = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        with swept(now.sparkSession):
+            found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(found) == state:
             break
         state = tuple(found)
